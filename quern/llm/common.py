@@ -142,7 +142,7 @@ def page_key(url: Column) -> Column:
     x = F.regexp_replace(F.trim(url), r"#.*$", "")
     query = F.regexp_extract(x, r"\?(.*)$", 1)
     path = F.regexp_replace(x, r"\?.*$", "")
-    path = F.regexp_replace(path, r"^(?i:[a-z][a-z0-9+.-]*:)?//[^/]*", "")
+    path = F.regexp_replace(path, r"^(?i:(?:[a-z][a-z0-9+.-]*:)?//[^/]*|[a-z0-9-]+(?:\.[a-z0-9-]+)+(?::\d+)?(?=/|$))", "")
     path = F.regexp_replace(F.regexp_replace(path, r"/{2,}", "/"), r"/+$", "")
     episode = F.regexp_extract(query, r"(?:^|[&;])episode=([^&;]+)", 1)
-    return F.when(F.trim(url) != "", F.concat_ws("?", F.lower(path), F.when(episode != "", episode)))
+    return F.when(F.trim(url) != "", F.concat_ws("?", path, F.when(episode != "", episode)))

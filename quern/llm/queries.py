@@ -5,14 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import tokens
+from quern.llm import cap, tokens
+from quern.llm.common import with_podcast
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def latest_quality(scores: DataFrame) -> DataFrame:
+    """(record_id, quality): the score of the latest scored_at; of equal times the higher one."""
+    return scores.groupBy("record_id").agg(F.max(F.struct("scored_at", "quality"))["quality"].alias("quality"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows beyond max(2, floor(4 % of the batch)) of a known podcast in a batch."""
+    docs = _table(spark, sf_dir, "source_documents").select("record_id", "batch_no", "podcast_title", F.col("metadata.podcast_slug").alias("slug"))
+    known = with_podcast(docs, _table(spark, sf_dir, "podcast_series"), slug=F.col("slug"))
+    scored = known.join(latest_quality(_table(spark, sf_dir, "quality_scores")), "record_id", "left")
+    limits = docs.groupBy("batch_no").agg(F.greatest(F.lit(2), F.floor(F.count("*") * 4 / 100)).alias("cap"))
+    return cap.cap(scored, ["batch_no", "podcast"], "quality", "record_id", limits).where(~F.col("kept")).select("record_id")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(_table(spark, sf_dir, "documents"))
 
@@ -23,7 +39,7 @@ def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p8_ids, p8_decoded)}
+    return {f.__name__: f for f in (p1_found, p8_ids, p8_decoded)}
 
 
 def oracle_sql() -> dict[str, str]:
