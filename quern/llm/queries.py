@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import cap, tokens
+from quern.llm import cap, sitelines, tokens
 from quern.llm.common import with_podcast
 
 
@@ -29,6 +29,27 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap.cap(scored, ["batch_no", "podcast"], "quality", "record_id", limits).where(~F.col("kept")).select("record_id")
 
 
+def _sourced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "source_documents").select("record_id", "podcast_title", F.col("metadata.podcast_slug").alias("slug"), "clean_text")
+    return with_podcast(docs, _table(spark, sf_dir, "podcast_series"), slug=F.col("slug"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitelines.repeated_lines(_sourced(spark, sf_dir), "record_id", "podcast", "clean_text")
+
+
+def p6_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents without the lines that p6_found names."""
+    docs = _sourced(spark, sf_dir).select("record_id", "podcast", "clean_text")
+    found = sitelines.repeated_lines(docs, "record_id", "podcast", "clean_text")
+    return sitelines.remove_lines(docs, found, "record_id", "clean_text")
+
+
+def p6_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents without the content-defined chunks that return too often in their podcast."""
+    return sitelines.cut_chunks(_sourced(spark, sf_dir), "record_id", "podcast", "clean_text")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(_table(spark, sf_dir, "documents"))
 
@@ -39,7 +60,7 @@ def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p8_ids, p8_decoded)}
+    return {f.__name__: f for f in (p1_found, p6_found, p6_cleaned, p6_cut, p8_ids, p8_decoded)}
 
 
 def oracle_sql() -> dict[str, str]:
