@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import cap, sitelines, tokens
+from quern.llm import cap, signature, sitelines, tokens
 from quern.llm.common import with_podcast
 
 
@@ -29,6 +29,20 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap.cap(scored, ["batch_no", "podcast"], "quality", "record_id", limits).where(~F.col("kept")).select("record_id")
 
 
+#: Alike, as the test tables define it.
+ALIKE = {"shingle": 3, "similarity": 0.6, "least_words": 40}
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = signature.alike_pairs(_table(spark, sf_dir, "source_documents").select("record_id", "clean_text"), "record_id", "clean_text", **ALIKE)
+    return pairs.select(F.col("a").alias("record_id_a"), F.col("b").alias("record_id_b"))
+
+
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates by the general terms (five words, 0.8): class and links of each document."""
+    return signature.alike_classes(_table(spark, sf_dir, "source_documents").select("record_id", "clean_text"), "record_id", "clean_text")
+
+
 def _sourced(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "source_documents").select("record_id", "podcast_title", F.col("metadata.podcast_slug").alias("slug"), "clean_text")
     return with_podcast(docs, _table(spark, sf_dir, "podcast_series"), slug=F.col("slug"))
@@ -60,7 +74,7 @@ def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p6_found, p6_cleaned, p6_cut, p8_ids, p8_decoded)}
+    return {f.__name__: f for f in (p1_found, p4_found, p4_classes, p6_found, p6_cleaned, p6_cut, p8_ids, p8_decoded)}
 
 
 def oracle_sql() -> dict[str, str]:
