@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import cap, signature, sitelines, tokens
+from quern.llm import cap, signature, sitelines, tokens, turns
 from quern.llm.common import with_podcast
 
 
@@ -29,6 +29,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap.cap(scored, ["batch_no", "podcast"], "quality", "record_id", limits).where(~F.col("kept")).select("record_id")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.turns(_table(spark, sf_dir, "transcript_segments"), _table(spark, sf_dir, "speakers"), with_text=False)
+
+
+def p2_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns with the clean words spoken."""
+    return turns.turns(_table(spark, sf_dir, "transcript_segments"), _table(spark, sf_dir, "speakers"))
+
+
 #: Alike, as the test tables define it.
 ALIKE = {"shingle": 3, "similarity": 0.6, "least_words": 40}
 
@@ -74,7 +83,7 @@ def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p4_found, p4_classes, p6_found, p6_cleaned, p6_cut, p8_ids, p8_decoded)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_turns, p4_found, p4_classes, p6_found, p6_cleaned, p6_cut, p8_ids, p8_decoded)}
 
 
 def oracle_sql() -> dict[str, str]:
