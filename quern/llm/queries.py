@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import cap, signature, sitelines, tokens, turns
+from quern.llm import cap, history, signature, sitelines, tokens, turns
 from quern.llm.common import with_podcast
 
 
@@ -42,6 +42,11 @@ def p2_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALIKE = {"shingle": 3, "similarity": 0.6, "least_words": 40}
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "source_documents").select("record_id", "batch_no", "url", "clean_text")
+    return history.repeats(docs, "record_id", "batch_no", "clean_text", "url", **ALIKE)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = signature.alike_pairs(_table(spark, sf_dir, "source_documents").select("record_id", "clean_text"), "record_id", "clean_text", **ALIKE)
     return pairs.select(F.col("a").alias("record_id_a"), F.col("b").alias("record_id_b"))
@@ -83,7 +88,7 @@ def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_turns, p4_found, p4_classes, p6_found, p6_cleaned, p6_cut, p8_ids, p8_decoded)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_turns, p3_found, p4_found, p4_classes, p6_found, p6_cleaned, p6_cut, p8_ids, p8_decoded)}
 
 
 def oracle_sql() -> dict[str, str]:
