@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import cap, history, signature, sitelines, tokens, turns
+from quern.llm import cap, history, mainbody, signature, sitelines, tokens, turns
 from quern.llm.common import with_podcast
 
 
@@ -62,6 +62,16 @@ def _sourced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_podcast(docs, _table(spark, sf_dir, "podcast_series"), slug=F.col("slug"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainbody.page_lines(_table(spark, sf_dir, "source_documents").select("record_id", "clean_text"), "record_id", "clean_text")
+
+
+def p5_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents without their page lines."""
+    docs = _table(spark, sf_dir, "source_documents").select("record_id", "clean_text")
+    return sitelines.remove_lines(docs, mainbody.page_lines(docs, "record_id", "clean_text"), "record_id", "clean_text")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitelines.repeated_lines(_sourced(spark, sf_dir), "record_id", "podcast", "clean_text")
 
@@ -88,7 +98,7 @@ def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_turns, p3_found, p4_found, p4_classes, p6_found, p6_cleaned, p6_cut, p8_ids, p8_decoded)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_turns, p3_found, p4_found, p4_classes, p5_found, p5_body, p6_found, p6_cleaned, p6_cut, p8_ids, p8_decoded)}
 
 
 def oracle_sql() -> dict[str, str]:
