@@ -13,7 +13,7 @@ back, so that no document, however long, is one task.
 from __future__ import annotations
 
 import functools
-import math
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.llm.common import stored
+
 STATES = ("speaker", "timestamp", "annotation", "filler", "speech")
 CLASSES = "LBTFWP"
 SAMPLE = 2_000
@@ -44,7 +46,7 @@ _LABELS = [
         rf"{_LEAD}{_NAME}{_ROLE}\s+[-–—](?=\s|$)",
     )
 ]
-_BEFORE = regex.compile(r"(?:^|[.!?…—–\])}>*♪\"”'’])\s*$")
+_SIGN = regex.compile(r"[:：\-–—\])>*]")
 
 
 def _near(a: str, b: str) -> bool:
@@ -103,7 +105,7 @@ def observe(text: str, people: People) -> tuple[list[tuple[int, int]], str, list
     marks = [m.start() for m in regex.finditer(r"(?:^\s*|(?<=[.!?…—–\])}>*♪\"”'’])\s*)(?=\S)", text)]
     starts = sorted({m + len(text[m:]) - len(text[m:].lstrip()) for m in marks})
     for s in starts:
-        if s < at:
+        if s < at or not _SIGN.search(text, s, s + 64):
             continue
         for pattern in _LABELS:
             if (m := pattern.match(text, s)) and (who := people.who(m["name"])) is not None:
@@ -136,7 +138,6 @@ class Model:
 
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.start, self.move, self.emit = start, move, emit
-        self.decode = functools.lru_cache(maxsize=65_536)(self._viterbi)
 
     @staticmethod
     def prior() -> "Model":
@@ -148,27 +149,40 @@ class Model:
         move = np.full((5, 5), 0.03) + np.diag([0.6, 0.05, 0.6, 0.2, 0.85])
         return Model(*(np.log(x / x.sum(-1, keepdims=True)) for x in (np.array([0.4, 0.02, 0.08, 0.05, 0.45]), move, emit)))
 
-    def _viterbi(self, classes: str) -> tuple[int, ...]:
-        if not classes:
-            return ()
-        see = [CLASSES.index(c) for c in classes]
-        best, back = self.start + self.emit[:, see[0]], []
-        for o in see[1:]:
-            all_ = best[:, None] + self.move
-            back.append(all_.argmax(0))
-            best = all_.max(0) + self.emit[:, o]
-        path = [int(best.argmax())]
-        for b in reversed(back):
-            path.append(int(b[path[-1]]))
-        return tuple(path[::-1])
+    def decode(self, sequences: list[str], step: int = 1_000) -> list[np.ndarray]:
+        """The best state of every token of each sequence, by Viterbi over many sequences of like length at once."""
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(sequences)
+        order = sorted((i for i, s in enumerate(sequences) if s), key=lambda i: len(sequences[i]))
+        code = np.zeros(128, np.int64)
+        code[[ord(c) for c in CLASSES]] = np.arange(len(CLASSES))
+        for at in range(0, len(order), step):
+            some = order[at : at + step]
+            sizes = np.array([len(sequences[i]) for i in some])
+            long = int(sizes[-1])
+            see = code[np.frombuffer("".join(sequences[i].ljust(long, "P") for i in some).encode(), np.uint8)].reshape(len(some), long)
+            best, back = self.start + self.emit[:, see[:, 0]].T, np.zeros((long, len(some), len(STATES)), np.int8)
+            last = np.where((sizes == 1)[:, None], best, 0)
+            for t in range(1, long):
+                all_ = best[:, :, None] + self.move
+                back[t] = all_.argmax(1)
+                best = all_.max(1) + self.emit[:, see[:, t]].T
+                last[sizes == t + 1] = best[sizes == t + 1]
+            path = np.zeros((long, len(some)), np.int64)
+            state, rows = last.argmax(1), np.arange(len(some))
+            for t in range(long - 1, -1, -1):
+                path[t] = state
+                inside = t < sizes
+                state = np.where(inside & (t > 0), back[t][rows, state], state)
+            for k, i in enumerate(some):
+                out[i] = path[: sizes[k], k]
+        return out
 
     def fitted(self, sequences: list[str], rounds: int = 2, weight: float = 50.0) -> "Model":
         """Viterbi training: the tables re-estimated from the best paths, with the prior counting as ``weight`` observations of each state."""
         model = self
         for _ in range(rounds):
             counts = [np.exp(x) * weight for x in (self.start, self.move, self.emit)]
-            for seq in sequences:
-                path = model.decode(seq)
+            for seq, path in zip(sequences, model.decode(sequences)):
                 for k, (state, c) in enumerate(zip(path, seq)):
                     counts[2][state, CLASSES.index(c)] += 1
                     if k:
@@ -179,14 +193,12 @@ class Model:
         return model
 
 
-def stretches(text: str, people: People, model: Model) -> list[tuple[int | None, str]]:
+def stretches(text: str, tokens: list[tuple[int, int]], labels: list[tuple[int, int, int]], path: np.ndarray) -> list[tuple[int | None, str]]:
     """(speaker or None where no label came yet in this segment, clean speech) of a segment, in order; speech may be empty."""
-    tokens, classes, labels = observe(text, people)
-    path = model.decode(classes)
     out: list[tuple[int | None, list[str]]] = [(None, [])]
     pending = list(labels)
     last_end = None
-    for (s, e), state in zip(tokens, path):
+    for (s, e), state in zip(tokens, path.tolist()):
         while pending and s >= pending[0][0]:
             out.append((pending.pop(0)[2], []))
             last_end = None
@@ -211,15 +223,17 @@ def _tagger(tables: tuple[np.ndarray, np.ndarray, np.ndarray]):
         model = Model(*tables)
         known: dict[str, People] = {}
         for batch in batches:
-            out = []
-            for text, people in zip(batch.column("text").to_pylist(), batch.column("people").to_pylist()):
-                people = people or []
-                key = repr(people)
+            seen = []
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for text, people in zip(texts, batch.column("people").to_pylist()):
+                key = people or "[]"
                 if key not in known:
                     if len(known) > 500:
                         known.clear()
-                    known[key] = People([(p["speaker_id"], p["full_name"], p["speaker_role"]) for p in people])
-                out.append([{"speaker": who, "speech": speech} for who, speech in stretches(text or "", known[key], model)])
+                    known[key] = People([(p["speaker_id"], p.get("full_name"), p.get("speaker_role")) for p in json.loads(key)])
+                seen.append(observe(text, known[key]))
+            paths = model.decode([classes for _, classes, _ in seen])
+            out = [[{"speaker": who, "speech": speech} for who, speech in stretches(t, tokens, labels, path)] for t, (tokens, _, labels), path in zip(texts, seen, paths)]
             kind = pa.list_(pa.struct([("speaker", pa.int64()), ("speech", pa.string())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("seg"), batch.column("time"), batch.column("base"), pa.array(out, kind)], ["doc", "seg", "time", "base", "parts"])
 
@@ -246,16 +260,17 @@ def speech(segments: DataFrame, speakers: DataFrame, sample: int = SAMPLE) -> Da
     timed = _carried(one, ["doc"], "block", ["seg"], F.when(F.col("at").isNotNull(), F.struct("at", "seg")), "b", True)
     timed = timed.select("doc", "seg", "text", "slug", F.col("b.at").alias("time"), F.coalesce("b.seg", F.lit(-(2**62))).alias("base"))
     first = timed.groupBy("doc", "time", "text").agg(F.min(F.struct("base", "seg")).alias("o"), F.min("slug").alias("slug")).select("doc", "time", "text", "o.base", "o.seg", "slug")
-    people = speakers.where("podcast_slug is not null").groupBy(F.col("podcast_slug").alias("slug")).agg(F.sort_array(F.collect_set(F.struct("speaker_id", "full_name", "speaker_role"))).alias("people"))
+    people = speakers.where("podcast_slug is not null").groupBy(F.col("podcast_slug").alias("slug")).agg(F.to_json(F.sort_array(F.collect_set(F.struct("speaker_id", "full_name", "speaker_role")))).alias("people"))
 
     some = segments.select("podcast_slug", "text").where("text is not null").limit(sample).join(people, F.col("podcast_slug") == F.col("slug"), "left").select("text", "people").collect()
-    known = functools.lru_cache(maxsize=1000)(lambda key: People(list(key)))
-    model = Model.prior().fitted([observe(r.text, known(tuple(tuple(p) for p in r.people or [])))[1] for r in some])
+    known = functools.lru_cache(maxsize=1000)(lambda people: People([(p["speaker_id"], p.get("full_name"), p.get("speaker_role")) for p in json.loads(people)]))
+    model = Model.prior().fitted([observe(r.text, known(r.people or "[]"))[1] for r in some])
 
     tagged = first.join(people, "slug", "left").select("doc", "seg", "time", "base", "text", "people")
     parts = tagged.mapInArrow(_tagger((model.start, model.move, model.emit)), "doc string, seg bigint, time bigint, base bigint, parts array<struct<speaker:bigint,speech:string>>")
     each = parts.select("doc", "time", "base", "seg", F.posexplode("parts").alias("part", "p")).select("doc", "time", "base", "seg", "part", "p.speaker", "p.speech")
     each = each.where("speech <> '' or speaker is not null").withColumn("block", F.coalesce(F.floor(F.col("time") / 600), F.lit(-1)))
+    each = stored(each, "stretches")
     held = _carried(each, ["doc"], "block", ["time", "base", "seg", "part"], F.when(F.col("speaker").isNotNull(), F.struct("speaker")), "h", True)
     return held.where("speech <> ''").select("doc", "time", "base", "seg", "part", "block", F.col("h.speaker").alias("speaker"), "speech")
 
@@ -270,7 +285,7 @@ def turns(segments: DataFrame, speakers: DataFrame, sample: int = SAMPLE, with_t
     start is null and stands first. Speech before any label has a null speaker. Null and empty texts say nothing;
     rows without doc_id are left out; an empty table gives none. ``sample``: segments the model is trained on.
     """
-    said = speech(segments, speakers, sample)
+    said = stored(speech(segments, speakers, sample), "speech")
     order = ["time", "base", "seg", "part"]
     before = _carried(said, ["doc"], "block", order, F.struct("speaker"), "prev", False)
     starts = before.withColumn("new", (F.col("prev").isNull() | ~F.col("prev.speaker").eqNullSafe(F.col("speaker"))).cast("bigint"))
