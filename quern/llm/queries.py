@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import cap, history, mainbody, signature, sitelines, spam, tokens, turns
+from quern.llm import cap, history, hnsw, mainbody, signature, sitelines, spam, tokens, turns
 from quern.llm.common import with_podcast
 
 
@@ -88,6 +88,12 @@ def p6_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitelines.cut_chunks(_sourced(spark, sf_dir), "record_id", "podcast", "clean_text")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every chunk that is embedded has its vector in vectors, under its chunk_id."""
+    found = hnsw.neighbours(_table(spark, sf_dir, "vectors").select("id", "embedding"), "id", "embedding", dims=48, k=5)
+    return hnsw.pairs(found, "id").select(F.col("a").alias("chunk_id_a"), F.col("b").alias("chunk_id_b"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(_table(spark, sf_dir, "documents"))
 
@@ -102,7 +108,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_turns, p3_found, p4_found, p4_classes, p5_found, p5_body, p6_found, p6_cleaned, p6_cut, p8_ids, p8_decoded, p10_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_turns, p3_found, p4_found, p4_classes, p5_found, p5_body, p6_found, p6_cleaned, p6_cut, p7_found, p8_ids, p8_decoded, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
