@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import cap, history, hnsw, mainbody, signature, sitelines, spam, tokens, turns
+from quern.llm import cap, history, hnsw, mainbody, mix, signature, sitelines, spam, tokens, turns
 from quern.llm.common import with_podcast
 
 
@@ -103,12 +103,22 @@ def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.decode(tokens.encode(_table(spark, sf_dir, "documents")))
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares that p9_mix really reaches, and the total."""
+    targets = _table(spark, sf_dir, "mix_targets")
+    return mix.shares(mix.mix(_table(spark, sf_dir, "documents"), targets), targets)
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam.flag(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id", "text", "lang")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_turns, p3_found, p4_found, p4_classes, p5_found, p5_body, p6_found, p6_cleaned, p6_cut, p7_found, p8_ids, p8_decoded, p10_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_turns, p3_found, p4_found, p4_classes, p5_found, p5_body, p6_found, p6_cleaned, p6_cut, p7_found, p8_ids, p8_decoded, p9_mix, p9_shares, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
