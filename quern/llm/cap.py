@@ -13,13 +13,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from quern.llm.common import stored
 
 WIDTH = 16
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(LongType())
 def _descending(score: pd.Series) -> pd.Series:
     bits = (score.to_numpy(np.float64) + 0.0).view(np.int64)  # + 0.0: -0.0 equals 0.0
     # Of a negative number all bits but the sign are flipped, so that signed order is numeric order; ~ turns it round.
