@@ -1,18 +1,11 @@
 """Queries by name, each with its SQL where SQL can express it."""
 
-from __future__ import annotations
+from quern.plans.queries import QUERIES, SQL
 
-from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def queries():
     return dict(QUERIES)
 
 
-def oracle_sql() -> dict[str, str]:
+def oracle_sql():
     return dict(SQL)
