@@ -92,7 +92,7 @@ def rounds(query: Column, default: int, most: int = 80) -> Column:
     x = F.translate(query, "０１２３４５６７８９", "0123456789")
     asked = lambda unit: F.nullif(F.regexp_extract(x, rf"(?iU)(\d+)\s*{unit}", 1), F.lit("")).cast("decimal(38,0)")
     whole = F.coalesce(asked("轮"), asked("回合"), asked("rounds?"), F.floor((asked("turns?") + 1) / 2))
-    return F.coalesce(F.least(F.greatest(whole, F.lit(1)), F.lit(most)).cast("int"), F.lit(default))
+    return F.when(whole.isNotNull(), F.least(F.greatest(whole, F.lit(1)), F.lit(most)).cast("int")).otherwise(default)
 
 
 def without_source_notes(x: Column) -> Column:

@@ -42,6 +42,10 @@ def without_inline(line: Column, pattern: str) -> Column:
     return T.strip(F.regexp_replace(line, f"(?isU){pattern}", ""))
 
 
+def _inline_step(pattern: str):
+    return lambda line: without_inline(line, pattern)
+
+
 def signs(bare: Column) -> Column:
     """What a line without its timestamp shows: a struct of one flag for each rule, so that each pattern is tried once."""
     rules = [bare.rlike(rf"(?i)\b({phrases})\b").alias(name) for name, _, phrases in RULES]
@@ -69,7 +73,7 @@ def cleaned(docs: DataFrame, text: str = "clean_text", config: CleanConfig = Cle
     # Each step is an array of its own: nothing is computed twice.
     step = docs.withColumn("_l0", T.normalized_lines(F.col(text)))
     for i, pattern in enumerate(INLINE):
-        step = step.withColumn(f"_l{i + 1}", F.transform(f"_l{i}", lambda x, pattern=pattern: without_inline(x, pattern)))
+        step = step.withColumn(f"_l{i + 1}", F.transform(f"_l{i}", _inline_step(pattern)))
     last = f"_l{len(INLINE)}"
     step = step.withColumn("_bare", F.transform(last, without_timestamp)).withColumn("_signs", F.transform("_bare", signs))
     step = step.withColumn("_reasons", F.transform("_signs", lambda s, i: F.when(F.get(last, i) == "", F.lit("empty_after_inline_clean")).otherwise(reason_of(s))))

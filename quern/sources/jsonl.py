@@ -22,8 +22,11 @@ def dropping(spark: SparkSession, paths: str | list[str], schema: str) -> DataFr
 def lenient(spark: SparkSession, paths: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:
     """(documents, problems): broken lines are reported as (source_file, line), blank ones skipped."""
     wide = Ty._parse_datatype_string(schema).add(CORRUPT, "string")
-    rows = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(paths).withColumn("source_file", F.col("_metadata.file_path"))
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull()).select("source_file", F.col(CORRUPT).alias("line"))
+    read = spark.read.text(paths).select(F.col("_metadata.file_path").alias("source_file"), "value").where(F.trim("value") != "")
+    rows = read.withColumn("_doc", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    broken = F.col(f"_doc.{CORRUPT}").isNotNull()
+    names = [f"_doc.`{f.name}`" for f in wide.fields if f.name != CORRUPT]
+    return rows.where(~broken).select(*names, "source_file"), rows.where(broken).select("source_file", F.col("value").alias("line"))
 
 
 def numbered(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
