@@ -12,17 +12,18 @@ from pyspark.sql.types import StringType
 
 # White space as Python counts it: Java's Unicode white space and the four information separators.
 SPACE = r"[\s\x1c-\x1f]"
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 TIMESTAMP_LINE = r"^\s*\[?(\d{1,2}:\d{2}(?::\d{2})?)\]?\s*(.*)$"
 
 
 def strip(x: Column) -> Column:
     """Without Unicode white space at either end."""
-    return F.regexp_replace(x, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(x, F.lit(SPACES))
 
 
 def rstrip(x: Column) -> Column:
-    return F.regexp_replace(x, rf"(?U){SPACE}+$", "")
+    return F.rtrim(x, F.lit(SPACES))
 
 
 def collapse(x: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.config import ChunkConfig, GenerateConfig, RetrieveConfig
 from quern.functions import text as T
+from quern.functions.layout import spread
 from quern.operators import audit, chunk, clean, generate, index, retrieve, rewrite, scrape
 from quern.plans import pipeline
 
@@ -43,7 +44,8 @@ def sql_collapse(x: str) -> str:
     return f"trim(regexp_replace({x}, '{WS}+', ' ', 'g'), ' ')"
 
 
-CHARS = F.length(F.coalesce("clean_text", F.lit("")))
+def chars():
+    return F.length(F.coalesce("clean_text", F.lit("")))
 
 
 # Audit
@@ -51,7 +53,7 @@ CHARS = F.length(F.coalesce("clean_text", F.lit("")))
 
 @query("SELECT count(*) AS documents, min(length(coalesce(clean_text, ''))) AS min_chars, max(length(coalesce(clean_text, ''))) AS max_chars, avg(length(coalesce(clean_text, ''))) AS avg_chars FROM source_documents")
 def audit_summary(spark, sf_dir):
-    return audit.summary(table(spark, sf_dir, "source_documents"), CHARS)
+    return audit.summary(table(spark, sf_dir, "source_documents"), chars())
 
 
 @query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS n FROM source_documents WHERE {c} <> '' GROUP BY {c} HAVING count(*) > 1" for c in ("url", "doc_id", "content_hash")))
@@ -71,7 +73,7 @@ def audit_empty_partitions(spark, sf_dir):
 
 
 def _lengths(spark, sf_dir):
-    return table(spark, sf_dir, "source_documents").select("record_id", CHARS.alias("chars"))
+    return table(spark, sf_dir, "source_documents").select("record_id", chars().alias("chars"))
 
 
 @query("SELECT record_id, length(coalesce(clean_text, '')) AS chars FROM source_documents ORDER BY chars, record_id LIMIT 200")
@@ -88,7 +90,7 @@ def audit_longest_200(spark, sf_dir):
 
 
 def _raw_lines(spark, sf_dir):
-    docs = table(spark, sf_dir, "source_documents").where("clean_text is not null")
+    docs = spread(table(spark, sf_dir, "source_documents").select("record_id", "clean_text").where("clean_text is not null"))
     return docs.select("record_id", F.posexplode(F.transform(T.lines(F.col("clean_text")), T.strip)).alias("pos", "line")).where("line <> ''")
 
 
@@ -138,7 +140,7 @@ def clean_scraped_lines(spark, sf_dir):
 
 
 def _cleaned(spark, sf_dir):
-    docs = table(spark, sf_dir, "source_documents")
+    docs = spread(table(spark, sf_dir, "source_documents"))
     return clean.decided(clean.cleaned(docs), ["record_id"])
 
 
@@ -176,7 +178,7 @@ def chunk_timestamp_islands(spark, sf_dir):
 @query()
 def chunk_timestamp_blocks(spark, sf_dir):
     found, aware = chunk.blocks(F.coalesce("clean_text", F.lit("")))
-    return table(spark, sf_dir, "source_documents").select("record_id", aware.alias("aware"), found.alias("b")).select("record_id", "aware", F.posexplode("b").alias("block", "x")).select("record_id", "aware", "block", "x.timestamp", "x.text")
+    return spread(table(spark, sf_dir, "source_documents").select("record_id", "clean_text")).select("record_id", aware.alias("aware"), found.alias("b")).select("record_id", "aware", F.posexplode("b").alias("block", "x")).select("record_id", "aware", "block", "x.timestamp", "x.text")
 
 
 @query(f"SELECT doc_id, unnest(parts) AS sentence, generate_subscripts(parts, 1) - 1 AS at FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?。！？]){WS}+', '\\1' || chr(2), 'g'), chr(2)) AS parts FROM documents WHERE text IS NOT NULL)")
@@ -186,13 +188,13 @@ def chunk_sentences(spark, sf_dir):
 
 @query()
 def chunk_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "source_documents").drop("doc_id").withColumn("doc_id", F.col("record_id").cast("string"))
+    docs = spread(table(spark, sf_dir, "source_documents")).drop("doc_id").withColumn("doc_id", F.col("record_id").cast("string"))
     return chunk.records(chunk.chunked(docs, ChunkConfig(), slug=F.col("metadata.podcast_slug")))
 
 
 @query()
 def chunk_statistics(spark, sf_dir):
-    docs = table(spark, sf_dir, "source_documents").drop("doc_id").withColumn("doc_id", F.col("record_id").cast("string"))
+    docs = spread(table(spark, sf_dir, "source_documents")).drop("doc_id").withColumn("doc_id", F.col("record_id").cast("string"))
     return chunk.statistics(chunk.chunked(docs, ChunkConfig(), slug=F.col("metadata.podcast_slug")))
 
 
