@@ -40,21 +40,21 @@ def cap(records: DataFrame, contributor: list[str], score: str, ident: str, limi
     with its limit (null: no limit). Best is the highest score, null and NaN below every number, and of equals the
     smaller ``ident`` (a bigint; repeated rows that share it stand or fall together, so their group may end
     above the limit). A null in ``contributor`` means unknown: such rows are kept. An empty table gives an
-    empty result, other columns pass through whatever their names.
+    empty result; other columns pass through, but one named ``kept`` is replaced.
     """
-    keyed = records.withColumn("_k", order_key(F.col(score), F.col(ident)))
+    keyed = records.withColumn("__key", order_key(F.col(score), F.col(ident)))
     known = F.lit(True)
     for c in contributor:
         known = known & F.col(c).isNotNull()
     by = [f"_g{i}" for i in range(len(contributor))]
-    narrow = stored(keyed.where(known).select(*[F.col(c).alias(g) for c, g in zip(contributor, by)], "_k"), "cap-keys")
+    narrow = stored(keyed.where(known).select(*[F.col(c).alias(g) for c, g in zip(contributor, by)], "__key"), "cap-keys")
     renamed = limits.select(*[F.col(c).alias(g) for c, g in zip(contributor, by) if c in limits.columns], F.col(limit).cast("bigint").alias("_limit"))
     on = [g for g in by if g in renamed.columns]
     sizes = narrow.groupBy(*by).agg(F.count("*").alias("_n")).join(renamed, on, "left")
     cut = stored(sizes.where("_n > _limit").select(*by, F.lit("").alias("_cut"), F.when(F.col("_limit") > 0, F.col("_limit")).otherwise(-1).alias("_left")), "cap-cut")
 
     # A byte that is equal in all records needs no round.
-    spans = narrow.agg(*[F.min(F.substring("_k", 2 * i + 1, 2)).alias(f"a{i}") for i in range(WIDTH)], *[F.max(F.substring("_k", 2 * i + 1, 2)).alias(f"b{i}") for i in range(WIDTH)]).first()
+    spans = narrow.agg(*[F.min(F.substring("__key", 2 * i + 1, 2)).alias(f"a{i}") for i in range(WIDTH)], *[F.max(F.substring("__key", 2 * i + 1, 2)).alias(f"b{i}") for i in range(WIDTH)]).first()
     for i in range(WIDTH):
         if spans[f"a{i}"] == spans[f"b{i}"]:
             cut = cut.withColumn("_cut", F.when(F.col("_left") > 0, F.concat("_cut", F.lit(spans[f"a{i}"] or ""))).otherwise(F.col("_cut")))
@@ -63,19 +63,19 @@ def cap(records: DataFrame, contributor: list[str], score: str, ident: str, limi
         if cut.where("_left > 0").isEmpty():
             break
     # A contributor whose limit ended exactly at a digit has a shorter cutoff: all below it, whatever follows, are kept.
-    bound = cut.select(*[F.col(g).alias(f"_{g}") for g in by], F.when(F.col("_left") < 0, "").otherwise(F.rpad("_cut", 2 * WIDTH, "g")).alias("_bound"))
+    bound = cut.select(*[F.col(g).alias(f"__{g}") for g in by], F.when(F.col("_left") < 0, "").otherwise(F.rpad("_cut", 2 * WIDTH, "g")).alias("__bound"))
     same = F.lit(True)
     for c, g in zip(contributor, by):
-        same = same & (F.col(c) == F.col(f"_{g}"))
+        same = same & (F.col(c) == F.col(f"__{g}"))
     out = keyed.join(bound, same, "left")
-    return out.withColumn("kept", F.col("_bound").isNull() | (F.col("_k") <= F.col("_bound"))).drop("_k", "_bound", *[f"_{g}" for g in by])
+    return out.withColumn("kept", F.col("__bound").isNull() | (F.col("__key") <= F.col("__bound"))).drop("__key", "__bound", *[f"__{g}" for g in by])
 
 
 def _round(narrow: DataFrame, cut: DataFrame, by: list[str], i: int) -> DataFrame:
     """Fix byte i of every contributor's cutoff. ``_left``: how many of the rows that match the cutoff are still to be kept; 0 = the cutoff is final, -1 = none is kept."""
     done, open_ = cut.where("_left <= 0"), cut.where("_left > 0")
-    active = narrow.join(open_, by).where(F.col("_k").startswith(F.col("_cut")))
-    counts = active.groupBy(*by, "_cut", "_left", F.substring("_k", 2 * i + 1, 2).alias("_digit")).agg(F.count("*").alias("_n"))
+    active = narrow.join(open_, by).where(F.col("__key").startswith(F.col("_cut")))
+    counts = active.groupBy(*by, "_cut", "_left", F.substring("__key", 2 * i + 1, 2).alias("_digit")).agg(F.count("*").alias("_n"))
     w = Window.partitionBy(*by).orderBy("_digit")
     total = counts.withColumn("_upto", F.sum("_n").over(w)).withColumn("_next", F.lead("_digit").over(w))
     # The cutoff's digit is the first with which the limit is reached.

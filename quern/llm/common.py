@@ -111,7 +111,7 @@ def resolve_names(titles: DataFrame, series: DataFrame) -> DataFrame:
 
     Titles are made distinct first, so the work follows the number of spellings, not of rows. One-edit
     matches come from an equi-join on keys with one character dropped (no cross join); the match counts
-    only if a single podcast is that near and no key is equal.
+    only if a single podcast is that near and no key is equal; letters dropped or swapped come before letters added or replaced.
     """
     names = podcast_names(series)
     keyed = titles.where(F.col("title").isNotNull()).select("title").distinct().withColumn("key", name_key(F.col("title"))).where(F.length("key") > 0)
@@ -120,7 +120,11 @@ def resolve_names(titles: DataFrame, series: DataFrame) -> DataFrame:
     open_ = equal.where("podcast is null").select("title", "key").withColumn("part", F.explode(_dropped(F.col("key"))))
     near = names.withColumnRenamed("key", "known").withColumn("part", F.explode(_dropped(F.col("known"))))
     edits = open_.join(near, "part").where(_one_edit(F.col("key"), F.col("known")))
-    edits = edits.groupBy("title").agg(F.min("podcast").alias("podcast"), F.max("podcast").alias("_other")).where(F.col("podcast") == F.col("_other")).drop("_other")
+    # Letters dropped or swapped are likelier than letters added or replaced.
+    same = F.sort_array(F.split("key", "")) == F.sort_array(F.split("known", ""))
+    edits = edits.withColumn("_added", F.when(same | (F.length("key") < F.length("known")), 0).otherwise(1))
+    best = edits.groupBy("title").agg(F.min("_added").alias("_best"))
+    edits = edits.join(best, "title").where("_added = _best").groupBy("title").agg(F.min("podcast").alias("podcast"), F.max("podcast").alias("_other")).where(F.col("podcast") == F.col("_other")).drop("_other")
     return exact.unionByName(edits)
 
 

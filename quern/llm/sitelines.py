@@ -88,17 +88,18 @@ def repeated_lines(docs: DataFrame, ident: str, source: str, text: str, least_wo
     per_doc = lines.groupBy("id", "source").agg(F.array_distinct(F.flatten(F.collect_list("chunks"))).alias("c")).select("source", F.explode("c").alias("chunk"))
     often = _often(per_doc.groupBy("source", "chunk").agg(F.count("*").alias("n")), sizes, least_docs, least_percent)
     each = lines.select("id", "source", "line_no", "line", F.explode(F.array_distinct("chunks")).alias("chunk"), F.size(F.array_distinct("chunks")).alias("need"))
-    hits = each.join(often, ["source", "chunk"]).groupBy("id", "source", "line_no", "line", "need").agg(F.count("*").alias("n")).where("n = need").drop("n", "need")
+    # In a repeated row a chunk counts more than once; the exact count below decides.
+    hits = each.join(often, ["source", "chunk"]).groupBy("id", "source", "line_no", "line", "need").agg(F.count("*").alias("n")).where("n >= need").drop("n", "need")
     exact = _often(hits.select("id", "source", "line").distinct().groupBy("source", "line").agg(F.count("*").alias("n")), sizes, least_docs, least_percent)
     return hits.join(exact, ["source", "line"]).select(F.col("id").alias(ident), "line_no")
 
 
 def remove_lines(docs: DataFrame, found: DataFrame, ident: str, text: str) -> DataFrame:
     r"""``docs`` with the found (ident, line_no) taken out of ``text``; all other columns stay. Lines are joined by ``\n`` again."""
-    gone = found.groupBy(F.col(ident).alias("_id")).agg(F.collect_set("line_no").alias("_gone"))
-    rest = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("_gone", F.coalesce(i.cast("bigint"), F.lit(0)) + 1))
-    out = docs.join(gone, F.col(ident) == F.col("_id"), "left")
-    return out.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(rest, "\n"))).drop("_id", "_gone")
+    gone = found.groupBy(F.col(ident).alias("__id")).agg(F.collect_set("line_no").alias("__gone"))
+    rest = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("__gone", F.coalesce(i.cast("bigint"), F.lit(0)) + 1))
+    out = docs.join(gone, F.col(ident) == F.col("__id"), "left")
+    return out.withColumn(text, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(rest, "\n"))).drop("__id", "__gone")
 
 
 def _text_chunks(value: str, window: int, mean: int) -> tuple[np.ndarray, list[tuple[int, int]]]:

@@ -262,7 +262,7 @@ def speech(segments: DataFrame, speakers: DataFrame, sample: int = SAMPLE) -> Da
     first = timed.groupBy("doc", "time", "text").agg(F.min(F.struct("base", "seg")).alias("o"), F.min("slug").alias("slug")).select("doc", "time", "text", "o.base", "o.seg", "slug")
     people = speakers.where("podcast_slug is not null").groupBy(F.col("podcast_slug").alias("slug")).agg(F.to_json(F.sort_array(F.collect_set(F.struct("speaker_id", "full_name", "speaker_role")))).alias("people"))
 
-    some = segments.select("podcast_slug", "text").where("text is not null").limit(sample).join(people, F.col("podcast_slug") == F.col("slug"), "left").select("text", "people").collect()
+    some = segments.where("text is not null").select("podcast_slug", "text", F.xxhash64("doc_id", "segment_no", "text").alias("h")).orderBy("h").limit(sample).join(people, F.col("podcast_slug") == F.col("slug"), "left").select("text", "people").collect()
     known = functools.lru_cache(maxsize=1000)(lambda people: People([(p["speaker_id"], p.get("full_name"), p.get("speaker_role")) for p in json.loads(people)]))
     model = Model.prior().fitted([observe(r.text, known(r.people or "[]"))[1] for r in some])
 
