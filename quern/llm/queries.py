@@ -121,5 +121,55 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p2_found, p2_turns, p3_found, p4_found, p4_classes, p5_found, p5_body, p6_found, p6_cleaned, p6_cut, p7_found, p8_ids, p8_decoded, p9_mix, p9_shares, p10_found)}
 
 
+WIDE = "".join(chr(0xFF01 + i) for i in range(94)) + "　 "
+NARROW = "".join(chr(0x21 + i) for i in range(94)).replace("'", "''") + "  "
+
+
+def _key(x: str) -> str:
+    """The SQL of ``name_key``."""
+    x = f"regexp_replace(strip_accents(lower(translate({x}, '{WIDE}', '{NARROW}'))), '&amp;|&#38;|&', ' and ', 'g')"
+    x = f"trim(regexp_replace(regexp_replace({x}, '[''’`´]', '', 'g'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    x = f"regexp_replace({x}, '(.) page [0-9]+$', '\\1')"
+    return f"regexp_replace(regexp_replace(regexp_replace(' ' || {x} || ' ', ' and( )', '\\1', 'g'), '^ (the )?', ''), ' $', '')"
+
+
+SQL_PODCAST = f"""series AS (SELECT slug, {_key('title')} AS k FROM podcast_series WHERE slug IS NOT NULL UNION SELECT slug, {_key('slug')} FROM podcast_series WHERE slug IS NOT NULL),
+names AS (SELECT k, min(slug) AS podcast FROM series WHERE k <> '' GROUP BY k HAVING min(slug) = max(slug)),
+titles AS (SELECT DISTINCT podcast_title AS title, {_key('podcast_title')} AS k FROM source_documents WHERE podcast_title IS NOT NULL AND {_key('podcast_title')} <> ''),
+near AS (SELECT title, podcast, CASE WHEN length(t.k) < length(n.k) OR list_sort(string_split(t.k, '')) = list_sort(string_split(n.k, '')) THEN 0 ELSE 1 END AS added
+FROM (SELECT * FROM titles WHERE k NOT IN (SELECT k FROM names)) t JOIN names n ON abs(length(t.k) - length(n.k)) <= 1 AND length(t.k) >= 4 AND length(n.k) >= 4 AND damerau_levenshtein(t.k, n.k) <= 1),
+edited AS (SELECT title, min(podcast) AS podcast FROM near JOIN (SELECT title, min(added) AS added FROM near GROUP BY title) USING (title, added) GROUP BY title HAVING min(podcast) = max(podcast)),
+named AS (SELECT title, podcast FROM titles JOIN names USING (k) UNION ALL SELECT * FROM edited),
+docs AS (SELECT d.*, coalesce(n.podcast, CASE WHEN d.metadata.podcast_slug IN (SELECT slug FROM podcast_series WHERE slug IS NOT NULL) THEN d.metadata.podcast_slug END) AS podcast FROM source_documents d LEFT JOIN named n ON d.podcast_title = n.title)"""
+
+SQL_ALIKE = r"""w AS (SELECT record_id, regexp_extract_all(lower(clean_text), '\p{L}+') AS w FROM source_documents WHERE clean_text IS NOT NULL),
+s AS (SELECT DISTINCT record_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT record_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 40)),
+n AS (SELECT record_id, count(*) AS n FROM s GROUP BY record_id),
+k AS (SELECT a.record_id AS a, b.record_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.record_id < b.record_id GROUP BY 1, 2),
+alike AS (SELECT a, b FROM k JOIN n x ON x.record_id = a JOIN n y ON y.record_id = b WHERE k >= 0.6 * (x.n + y.n - k))"""
+
+SQL_PAGE = r"""u AS (SELECT record_id, batch_no, regexp_replace(trim(url), '#.*$', '') AS u FROM source_documents WHERE trim(url) <> ''),
+p AS (SELECT record_id, batch_no, regexp_replace(regexp_replace(regexp_replace(regexp_replace(u, '\?.*$', ''), '^(?i:(?:[a-z][a-z0-9+.-]*:)?//[^/]*)', ''), '/{2,}', '/', 'g'), '/+$', '') AS path, regexp_extract(u, '[?&;]episode=([^&;]+)', 1) AS episode FROM u)"""
+
+SQL = {
+    "p1_found": f"""WITH {SQL_PODCAST}, latest AS (SELECT record_id, max(scored_at) AS t FROM quality_scores GROUP BY record_id), score AS (SELECT record_id, max(quality) AS quality FROM quality_scores JOIN latest USING (record_id) WHERE scored_at = t GROUP BY record_id),
+cap AS (SELECT batch_no, greatest(2, count(*) * 4 // 100) AS cap FROM source_documents GROUP BY batch_no)
+SELECT record_id FROM (SELECT record_id, cap, row_number() OVER (PARTITION BY batch_no, podcast ORDER BY quality DESC NULLS LAST, record_id) AS r FROM docs JOIN cap USING (batch_no) LEFT JOIN score USING (record_id) WHERE podcast IS NOT NULL) WHERE r > cap""",
+    "p3_found": f"""WITH {SQL_ALIKE}, {SQL_PAGE}, batch AS (SELECT record_id, batch_no FROM source_documents)
+SELECT x.record_id FROM alike JOIN batch x ON x.record_id IN (a, b) JOIN batch y ON y.record_id IN (a, b) AND y.batch_no < x.batch_no
+UNION SELECT record_id FROM (SELECT record_id, batch_no, min(batch_no) OVER (PARTITION BY path, episode) AS first FROM p) WHERE batch_no > first""",
+    "p4_found": f"WITH {SQL_ALIKE} SELECT a AS record_id_a, b AS record_id_b FROM alike",
+    "p6_found": rf"""WITH {SQL_PODCAST}, sizes AS (SELECT podcast, count(DISTINCT record_id) AS size FROM docs WHERE podcast IS NOT NULL GROUP BY podcast),
+lines AS (SELECT record_id, podcast, unnest(string_split(clean_text, chr(10))) AS l, generate_subscripts(string_split(clean_text, chr(10)), 1) AS line_no FROM docs WHERE podcast IS NOT NULL AND clean_text IS NOT NULL),
+worded AS (SELECT record_id, podcast, line_no, regexp_extract_all(lower(l), '\p{{L}}+') AS w FROM lines),
+often AS (SELECT podcast, w FROM worded JOIN sizes USING (podcast) WHERE len(w) >= 4 GROUP BY podcast, w, size HAVING count(DISTINCT record_id) >= 5 AND count(DISTINCT record_id) * 10 >= size)
+SELECT DISTINCT record_id, line_no FROM worded JOIN often USING (podcast, w)""",
+    "p7_found": """WITH v AS (SELECT id, CAST(min(embedding) AS DOUBLE[]) AS e FROM vectors WHERE len(embedding) = 48 AND len(list_filter(embedding, lambda x: isnan(x) OR isinf(x) OR x IS NULL)) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 GROUP BY id),
+near AS (SELECT a.id AS a, b.id AS b, row_number() OVER (PARTITION BY a.id ORDER BY list_cosine_similarity(a.e, b.e) DESC, b.id) AS r FROM v a JOIN v b ON a.id <> b.id)
+SELECT DISTINCT least(a, b) AS chunk_id_a, greatest(a, b) AS chunk_id_b FROM near WHERE r <= 5""",
+    "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents"}
+    return dict(SQL)
