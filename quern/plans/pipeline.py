@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from quern.config import ChunkConfig, CleanConfig, RetrieveConfig
-from quern.operators import chunk, clean, index, retrieve
+from quern.adapters import Generator
+from quern.config import ChunkConfig, CleanConfig, GenerateConfig, RetrieveConfig, RewriteConfig
+from quern.functions import text as T
+from quern.operators import chunk, clean, generate, index, retrieve, rewrite
 
 
 def build_chunks(docs: DataFrame, order: list[str], clean_config: CleanConfig = CleanConfig(), chunk_config: ChunkConfig = ChunkConfig()) -> DataFrame:
@@ -30,3 +36,52 @@ def retrieve_batch(queries: DataFrame, vectors: DataFrame, chunks: DataFrame, co
     picked = retrieve.picked(found.join(meta, "chunk_id"), config=config)
     asked = queries.groupBy("query_id").agg(F.min_by("matched_query", "query_index").alias("user_query"))
     return picked, retrieve.source_packs(asked, picked, chunks, config=config)
+
+
+def completed(rows: DataFrame, messages: str, make: Callable[[], Generator], column: str = "answer") -> DataFrame:
+    """``rows`` with a model's answer to their messages, and ``error``: a failed call is a value in its row."""
+    schema = StructType([*rows.schema.fields, StructField(column, StringType()), StructField("error", StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = make()
+        for b in batches:
+            answers, errors = [], []
+            for m in b.column(messages).to_pylist():
+                try:
+                    answers.append(model.complete(m))
+                    errors.append(None)
+                except Exception as e:  # one request's failure leaves the others alone
+                    answers.append(None)
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(answers, pa.string()), pa.array(errors, pa.string())], [*b.schema.names, column, "error"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def rewrite_batch(requests: DataFrame, cache: DataFrame, make: Callable[[], Generator], provider: str, base_url: str, model: str, config: RewriteConfig = RewriteConfig()) -> tuple[DataFrame, DataFrame]:
+    """(query, result) of every request and the new rows of the cache (cache_key, result): only successful rewrites that it did not hold.
+
+    ``requests``: query; ``cache``: cache_key, result, at (the order of its rows). A disabled rewrite or a failed one gives the query itself.
+    """
+    asked = requests.select("query").distinct().withColumn("cache_key", rewrite.cache_key(F.col("query"), provider, base_url, model, config))
+    if not config.enabled:
+        off = rewrite.parsed(asked.withColumn("answer", F.lit(None).cast("string")), provider=provider, model=model, config=config)
+        return off.select("query", F.col("result").withField("fallback_reason", F.lit("rewrite_disabled")).alias("result")), cache.limit(0).select("cache_key", "result")
+    held = rewrite.cached(asked, cache, "at") if config.cache_enabled else asked.withColumn("result", F.lit(None).cast(cache.schema["result"].dataType))
+    open_ = held.where("result is null").select("query", "cache_key", rewrite.prompt(F.col("query"), config.max_queries).alias("messages"))
+    new = rewrite.parsed(completed(open_, "messages", make), provider=provider, model=model, config=config)
+    done = held.where("result is not null").select("query", "result").unionByName(new.select("query", F.col("result").cast(cache.schema["result"].dataType).alias("result")))
+    return done, new.where("result.rewrite_used").select("cache_key", F.col("result").cast(cache.schema["result"].dataType).alias("result"))
+
+
+def dialogues(packs: DataFrame, make: Callable[[], Generator], language: str = "English", extra: str = "", config: GenerateConfig = GenerateConfig(), dry_run: bool = False) -> DataFrame:
+    """(query_id, messages, prompt_chars, rounds[, dialogue_md, dialogue_lines]) of source packs: prompt, model, its own source notes cut, appendix added."""
+    rounds = T.rounds(F.col("user_query"), config.rounds, config.max_rounds)
+    search = F.struct(F.col("user_query").alias("core_query"))
+    prompt = generate.messages(F.col("user_query"), rounds, F.lit(language), F.col("coverage"), search, F.col("sources"), F.lit(extra), config)
+    asked = packs.select("query_id", "sources", rounds.alias("rounds"), prompt.alias("messages")).withColumn("prompt_chars", generate.prompt_chars(F.col("messages")))
+    if dry_run:
+        return asked.drop("sources")
+    answered = completed(asked, "messages", make)
+    whole = answered.withColumn("dialogue_md", generate.document(F.coalesce("answer", F.lit("")), F.col("sources"), config.appendix_excerpt_chars))
+    return whole.withColumn("dialogue_lines", F.regexp_count("answer", F.lit(r"(?m)^\s*\S"))).drop("sources", "answer")
