@@ -6,6 +6,9 @@
 from __future__ import annotations
 
 import argparse
+import datetime
+import functools
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 from quern import adapters
 from quern.config import ChunkConfig, CleanConfig, GenerateConfig, RetrieveConfig, load_yaml, merged
 from quern.operators import audit, chunk, clean, index
-from quern.plans import pipeline
+from quern.plans import acquire, pipeline
 from quern.schemas import CHUNK, DOCUMENT
 from quern.sources import jsonl, sinks
 
@@ -27,6 +30,24 @@ def _interim(spark: SparkSession, folder: str, max_files: int | None) -> DataFra
     return docs
 
 
+def run_scrape(spark: SparkSession, a: argparse.Namespace) -> None:
+    fetch = functools.partial(adapters.HttpFetcher, timeout=a.timeout, pause=a.sleep)
+    host = urlparse(a.catalog_url or a.podcast_url).netloc
+    if a.catalog_url:
+        series = acquire.podcasts(spark, a.catalog_url, fetch, host, a.max_pages, a.max_podcasts)
+        series.write.mode("overwrite").parquet(f"{a.output}/catalog_table")  # fetched once
+        series = spark.read.parquet(f"{a.output}/catalog_table")
+    else:
+        series = spark.createDataFrame([(a.podcast_url, urlparse(a.podcast_url).path.rstrip("/").rsplit("/", 1)[-1], None)], "url string, slug string, title string")
+    try:
+        existing = jsonl.dropping(spark, f"{a.output}/documents", DOCUMENT).select("url")
+    except Exception:  # nothing was scraped before
+        existing = spark.createDataFrame([], "url string")
+    now = datetime.datetime.now(datetime.UTC).isoformat()
+    docs, _ = acquire.new_documents(series, existing, fetch, host, a.site, now, a.max_pages, not a.drop_timestamps)
+    sinks.write_jsonl(docs.withColumn("slug", F.col("metadata.podcast_slug")), f"{a.output}/documents", append=True)
+
+
 def run_audit(spark: SparkSession, a: argparse.Namespace) -> None:
     docs = _interim(spark, a.input, None).withColumn("chars", F.length(F.coalesce("clean_text", F.lit(""))))
     rows = docs.select("podcast_slug", "title", "url", "chars", "content_hash", "source_file", "line_no")
@@ -101,6 +122,16 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument(f"--{r}", required=True)
         return c
 
+    c = command("scrape", run_scrape, "output")
+    where = c.add_mutually_exclusive_group(required=True)
+    where.add_argument("--catalog-url")
+    where.add_argument("--podcast-url")
+    c.add_argument("--site", default="site")
+    c.add_argument("--sleep", type=float, default=1.0)
+    c.add_argument("--timeout", type=float, default=30)
+    c.add_argument("--max-pages", type=int)
+    c.add_argument("--max-podcasts", type=int)
+    c.add_argument("--drop-timestamps", action="store_true")
     command("audit", run_audit, "input", "report")
     c = command("clean", run_clean, "input", "output", "report")
     c.add_argument("--min-chars", type=int)

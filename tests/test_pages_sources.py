@@ -95,3 +95,26 @@ def test_config(tmp_path):
     p.write_text("chunk:\n  target_chars: 100 # x\n  max_chars: 200\nname: 'q'\n")
     assert load_yaml(str(p))["chunk"] == {"target_chars": 100, "max_chars": 200} and load_yaml(str(tmp_path / "none")) == {}
     assert merged(ChunkConfig(), {"target_chars": 100}, max_chars=0).max_chars == 3600
+
+
+def test_acquire(spark):
+    from quern.plans import acquire
+
+    pages = {
+        "https://h/c": CATALOG, "https://h/c?page=2": '<a class="podcast-card" href="/shows/z"></a>', "https://h/shows/a": LISTING + '<a class="podcast-episode-card" href="/e/old" aria-label="Read Old"></a><a class="podcast-episode-card" href="/e/gone" aria-label="Read Gone"></a>',
+        "https://h/e/1": EPISODE,
+    }
+    fetch = lambda: adapters.TableFetcher(pages)
+    series = acquire.podcasts(spark, "https://h/c", fetch, "h").collect()
+    assert {r.slug for r in series} == {"a", "b", "z"}
+    existing = spark.createDataFrame([("https://h/e/old",), (None,)], "url string")
+    docs, failed = acquire.new_documents(spark.createDataFrame(series), existing, fetch, "h", "site", "2024-01-01T00:00:00+00:00")
+    assert [(d.url, d.podcast_title, d.metadata.podcast_slug) for d in docs.collect()] == [("https://h/e/1", "A show", "a")]
+    assert [f.url for f in failed.collect()] == ["https://h/e/gone"]
+
+
+def test_page_numbers(spark):
+    from quern.functions import text as T
+
+    rows = spark.createDataFrame([("https://h/p?x=1&page=12",), ("https://h/p",), (None,)], "u string")
+    assert [r[0] for r in rows.select(T.page_number(F.col("u"))).collect()] == [12, None, None]

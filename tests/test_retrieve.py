@@ -101,3 +101,14 @@ def test_appendix_and_notes(spark):
     df = spark.sql("select array(named_struct('rank', 1, 'distance', 0.5d, 'chunk_id', 'c', 'doc_id', 'd', 'title', 'T', 'podcast_slug', 'p', 'url', '', 'start_timestamp', '1', 'end_timestamp', '2', 'chunk_index', 0L, 'char_count', 3L, 'matched_queries', array('q'), 'text', 'a  b')) as s")
     got = df.select(generate.document(F.lit(text), F.col("s")).alias("d")).first().d
     assert got.startswith("A: x\n\n## Source Appendix") and "- URL: N/A" in got and "  - q" in got and "> a b" in got and "made up" not in got
+
+
+def test_flattened_results(spark):
+    df = spark.sql("select 'q' as query_id, array(array('a', 'b'), array()) as ids, array(array(0.1d, 0.2d)) as distances, array(array('x', 'y')) as documents")
+    got = [(r.query_index, r["rank"], r.chunk_id, r.distance, r.document) for r in retrieve.flattened(df).collect()]
+    assert got == [(0, 1, "a", 0.1, "x"), (0, 2, "b", 0.2, "y")]
+
+
+def test_usable_variants(spark):
+    df = spark.createDataFrame([("q", ["a", " "]), ("q", ["", "  "])], "q string, v array<string>")
+    assert [r[0] for r in df.select(retrieve.usable_variants(F.col("v"), F.col("q"))).collect()] == [["a"], ["q"]]
