@@ -151,7 +151,25 @@ alike AS (SELECT a, b FROM k JOIN n x ON x.record_id = a JOIN n y ON y.record_id
 SQL_PAGE = r"""u AS (SELECT record_id, batch_no, regexp_replace(trim(url), '#.*$', '') AS u FROM source_documents WHERE trim(url) <> ''),
 p AS (SELECT record_id, batch_no, regexp_replace(regexp_replace(regexp_replace(regexp_replace(u, '\?.*$', ''), '^(?i:(?:[a-z][a-z0-9+.-]*:)?//[^/]*)', ''), '/{2,}', '/', 'g'), '/+$', '') AS path, regexp_extract(u, '[?&;]episode=([^&;]+)', 1) AS episode FROM u)"""
 
+SQL_OFTEN = rf"""sizes AS (SELECT podcast, count(DISTINCT record_id) AS size FROM docs WHERE podcast IS NOT NULL GROUP BY podcast),
+lines AS (SELECT record_id, podcast, unnest(string_split(clean_text, chr(10))) AS l, generate_subscripts(string_split(clean_text, chr(10)), 1) AS line_no FROM docs WHERE podcast IS NOT NULL AND clean_text IS NOT NULL),
+worded AS (SELECT record_id, podcast, line_no, regexp_extract_all(lower(l), '\p{{L}}+') AS w FROM lines),
+often AS (SELECT podcast, w FROM worded JOIN sizes USING (podcast) WHERE len(w) >= 4 GROUP BY podcast, w, size HAVING count(DISTINCT record_id) >= 5 AND count(DISTINCT record_id) * 10 >= size),
+found AS (SELECT DISTINCT record_id, line_no FROM worded JOIN often USING (podcast, w))"""
+
+SQL_FIVE = r"""w AS (SELECT record_id, regexp_extract_all(lower(clean_text), '\p{L}+') AS w FROM source_documents WHERE clean_text IS NOT NULL),
+s AS (SELECT DISTINCT record_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT record_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 40)),
+n AS (SELECT record_id, count(*) AS n FROM s GROUP BY record_id),
+k AS (SELECT a.record_id AS a, b.record_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.record_id < b.record_id GROUP BY 1, 2),
+p AS (SELECT a, b, k = x.n AND k = y.n AS same FROM k JOIN n x ON x.record_id = a JOIN n y ON y.record_id = b WHERE k >= 0.8 * (x.n + y.n - k)),
+c AS (SELECT n.record_id, coalesce(min(p.a), n.record_id) AS class_id FROM n LEFT JOIN p ON p.b = n.record_id AND p.same GROUP BY n.record_id),
+l AS (SELECT DISTINCT x.class_id AS x, y.class_id AS y FROM p JOIN c x ON x.record_id = a JOIN c y ON y.record_id = b WHERE NOT same),
+links AS (SELECT class_id, count(*) AS links FROM (SELECT x AS class_id, y AS other FROM l UNION SELECT y, x FROM l) GROUP BY class_id)"""
+
 SQL = {
+    "p4_classes": f"WITH {SQL_FIVE} SELECT record_id, class_id, coalesce(links, 0) AS links FROM c LEFT JOIN links USING (class_id)",
+    "p6_cleaned": f"""WITH {SQL_PODCAST}, {SQL_OFTEN}, kept AS (SELECT record_id, string_agg(l, chr(10) ORDER BY line_no) AS t FROM lines ANTI JOIN found USING (record_id, line_no) GROUP BY record_id)
+SELECT record_id, podcast, CASE WHEN record_id IN (SELECT record_id FROM found) THEN coalesce(t, '') ELSE clean_text END AS clean_text FROM docs LEFT JOIN kept USING (record_id)""",
     "p1_found": f"""WITH {SQL_PODCAST}, latest AS (SELECT record_id, max(scored_at) AS t FROM quality_scores GROUP BY record_id), score AS (SELECT record_id, max(quality) AS quality FROM quality_scores JOIN latest USING (record_id) WHERE scored_at = t GROUP BY record_id),
 cap AS (SELECT batch_no, greatest(2, count(*) * 4 // 100) AS cap FROM source_documents GROUP BY batch_no)
 SELECT record_id FROM (SELECT record_id, cap, row_number() OVER (PARTITION BY batch_no, podcast ORDER BY quality DESC NULLS LAST, record_id) AS r FROM docs JOIN cap USING (batch_no) LEFT JOIN score USING (record_id) WHERE podcast IS NOT NULL) WHERE r > cap""",
@@ -159,11 +177,7 @@ SELECT record_id FROM (SELECT record_id, cap, row_number() OVER (PARTITION BY ba
 SELECT x.record_id FROM alike JOIN batch x ON x.record_id IN (a, b) JOIN batch y ON y.record_id IN (a, b) AND y.batch_no < x.batch_no
 UNION SELECT record_id FROM (SELECT record_id, batch_no, min(batch_no) OVER (PARTITION BY path, episode) AS first FROM p) WHERE batch_no > first""",
     "p4_found": f"WITH {SQL_ALIKE} SELECT a AS record_id_a, b AS record_id_b FROM alike",
-    "p6_found": rf"""WITH {SQL_PODCAST}, sizes AS (SELECT podcast, count(DISTINCT record_id) AS size FROM docs WHERE podcast IS NOT NULL GROUP BY podcast),
-lines AS (SELECT record_id, podcast, unnest(string_split(clean_text, chr(10))) AS l, generate_subscripts(string_split(clean_text, chr(10)), 1) AS line_no FROM docs WHERE podcast IS NOT NULL AND clean_text IS NOT NULL),
-worded AS (SELECT record_id, podcast, line_no, regexp_extract_all(lower(l), '\p{{L}}+') AS w FROM lines),
-often AS (SELECT podcast, w FROM worded JOIN sizes USING (podcast) WHERE len(w) >= 4 GROUP BY podcast, w, size HAVING count(DISTINCT record_id) >= 5 AND count(DISTINCT record_id) * 10 >= size)
-SELECT DISTINCT record_id, line_no FROM worded JOIN often USING (podcast, w)""",
+    "p6_found": f"WITH {SQL_PODCAST}, {SQL_OFTEN} SELECT record_id, line_no FROM found",
     "p7_found": """WITH v AS (SELECT id, CAST(min(embedding) AS DOUBLE[]) AS e FROM vectors WHERE len(embedding) = 48 AND len(list_filter(embedding, lambda x: isnan(x) OR isinf(x) OR x IS NULL)) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 GROUP BY id),
 near AS (SELECT a.id AS a, b.id AS b, row_number() OVER (PARTITION BY a.id ORDER BY list_cosine_similarity(a.e, b.e) DESC, b.id) AS r FROM v a JOIN v b ON a.id <> b.id)
 SELECT DISTINCT least(a, b) AS chunk_id_a, greatest(a, b) AS chunk_id_b FROM near WHERE r <= 5""",
