@@ -40,7 +40,7 @@ def test_nearest_in_blocks_is_the_same(spark):
     odd = spark.createDataFrame([("z", [0.0, 0.0, 0.0]), ("s", [1.0]), ("n", None), ("nan", [float("nan"), 1.0, 1.0])], "chunk_id string, embedding array<float>")
     q = v.where("cast(chunk_id as int) % 10 = 0").select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("q_embedding"))
     one = index.nearest(q, v.unionByName(odd), 3, ["query_id"], "chunk_id").collect()
-    many = index.nearest(q, v.unionByName(odd), 3, ["query_id"], "chunk_id", broadcast_rows=2).collect()
+    many = index.nearest(q, v.unionByName(odd), 3, ["query_id"], "chunk_id", block=2).collect()
     assert sorted(map(tuple, one)) == sorted(map(tuple, many)) and len(one) == 18
     assert all(r.query_id == r.chunk_id for r in one if r["rank"] == 1)
 
