@@ -269,7 +269,7 @@ def speech(segments: DataFrame, speakers: DataFrame, sample: int = SAMPLE) -> Da
     tagged = first.join(people, "slug", "left").select("doc", "seg", "time", "base", "text", "people")
     parts = tagged.mapInArrow(_tagger((model.start, model.move, model.emit)), "doc string, seg bigint, time bigint, base bigint, parts array<struct<speaker:bigint,speech:string>>")
     each = parts.select("doc", "time", "base", "seg", F.posexplode("parts").alias("part", "p")).select("doc", "time", "base", "seg", "part", "p.speaker", "p.speech")
-    each = each.where("speech <> '' or speaker is not null").withColumn("block", F.coalesce(F.floor(F.col("time") / 600), F.lit(-1)))
+    each = each.where("speech <> '' or speaker is not null").withColumn("block", F.coalesce(F.floor(F.col("time") / 600), F.floor(F.col("seg") / 1000) - F.lit(10**12)))
     each = stored(each, "stretches")
     held = _carried(each, ["doc"], "block", ["time", "base", "seg", "part"], F.when(F.col("speaker").isNotNull(), F.struct("speaker")), "h", True)
     return held.where("speech <> ''").select("doc", "time", "base", "seg", "part", "block", F.col("h.speaker").alias("speaker"), "speech")
