@@ -110,6 +110,21 @@ def test_alike_pairs_equal_brute_force(spark, monkeypatch, small):
     assert signature.alike_pairs(docs.where("r > 1000"), "r", "t").collect() == []
 
 
+def test_links_of_a_hot_group_are_kept(spark):
+    """Over FREQUENT variants of a text, and some with so many edits of their own that most of their runs are unique and the rest frequent."""
+    rnd = random.Random(11)
+    base = [f"{a}{b}{c}" for a in "bcdfgh" for b in "aeiou" for c in "klmnprst"]
+    edit = lambda: "".join(rnd.choice("vwxyz") for _ in range(9))
+    rows = []
+    for i in range(230):
+        w = list(base)
+        for at in [rnd.randrange(len(w))] if i < 222 else range(7, len(w), 15):
+            w[at] = edit()
+        rows.append((i, " ".join(w)))
+    got = [(r.a, r.b) for r in signature.alike_pairs(spark.createDataFrame(rows, "r bigint, t string"), "r", "t", 3, 0.6).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(rows) and {i for p in got for i in p} == set(range(230))
+
+
 def test_tree_prunes_without_loss():
     rnd = np.random.default_rng(1)
     sets = [set(rnd.integers(0, 400, rnd.integers(20, 60)).tolist()) for _ in range(150)]
