@@ -77,3 +77,23 @@ def test_frequent_prints_are_found_by_the_other_way(spark, monkeypatch):
     rows = [(i, 0, None, text(1)) for i in range(5)] + [(10, 1, None, edited(text(1))), (11, 1, None, text(9))]
     got = history.repeats(spark.createDataFrame(rows, "r bigint, b int, u string, t string"), "r", "b", "t", "u", shingle=3, similarity=0.6).collect()
     assert [r.r for r in got] == [10]
+
+
+def test_hot_prints_are_looked_up_whatever_else_a_text_holds(spark):
+    """An edited copy of a text that over FREQUENT histories hold in variants, with over half of its prints its own; FREQUENT as it is."""
+    base = text(1, 240).split()
+    def copy(seed, places):
+        return " ".join(f"edit{'abcdefghij'[seed % 10]}{'abcdefghij'[seed // 10 % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]}" if i in places else w for i, w in enumerate(base))
+    rows = [(i, 0, None, copy(i, {i * 3})) for i in range(60)] + [(100 + i, 0, None, text(2, 240)) for i in range(60)]
+    rows += [(200 + i, 1, None, copy(60 + i, set(range(i, 240, 15)))) for i in range(10)] + [(300, 1, None, text(2, 240)), (301, 1, None, text(3)), (302, 2, None, text(2, 240).upper())]
+    docs = spark.createDataFrame(rows, "r bigint, b int, u string, t string")
+    got = sorted(r.r for r in history.repeats(docs, "r", "b", "t", "u", shingle=3, similarity=0.6).collect())
+    assert got == [*range(200, 210), 300, 302]
+
+
+def test_history_keeps_the_prints_of_equal_texts_once(spark, tmp_path):
+    store = history.Store(spark, str(tmp_path / "h"), shingle=3, similarity=0.6)
+    for n in range(3):
+        got = store.take(spark.createDataFrame([(10 * n + i, None, text(1)) for i in range(4)], "r bigint, u string, t string"), "r", "t", "u")
+        assert sorted(r.r for r in got.collect()) == ([10 * n + i for i in range(4)] if n else [])
+    assert spark.read.schema("id bigint").option("recursiveFileLookup", "true").parquet(*store._at("prints")).distinct().count() == 1
