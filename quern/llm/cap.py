@@ -1,9 +1,9 @@
 """Problem 1: cap the records of dominant contributors, keeping those of highest quality.
 
 Method: radix selection. (score descending, identifier ascending) becomes 16 order-preserving bytes. Round
-by round, records that still match a contributor's cutoff prefix are counted per contributor and next byte
-(partial aggregation before the shuffle, at most 256 counts for each contributor), the cutoff's next digit
-is fixed, and in the end one comparison with the cutoff tells kept from dropped. No contributor's records
+by round, records that still match a contributor's cutoff prefix are counted per contributor and next digit of
+two bytes (partial aggregation before the shuffle, at most 65,536 counts for each contributor), the cutoff's next digit
+is fixed, only the records that match it go into the next round, and in the end one comparison with the cutoff tells kept from dropped. No contributor's records
 are ever sorted or gathered, so one that holds a third of all rows costs no more than any other.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType
 
 from quern.llm.common import stored
 
-WIDTH = 16
+WIDTH, DIGIT = 16, 2
 
 
 @F.pandas_udf(LongType())
@@ -53,13 +53,19 @@ def cap(records: DataFrame, contributor: list[str], score: str, ident: str, limi
     sizes = narrow.groupBy(*by).agg(F.count("*").alias("_n")).join(renamed, on, "left")
     cut = stored(sizes.where("_n > _limit").select(*by, F.lit("").alias("_cut"), F.when(F.col("_limit") > 0, F.col("_limit")).otherwise(-1).alias("_left")), "cap-cut")
 
-    # A byte that is equal in all records needs no round.
-    spans = narrow.agg(*[F.min(F.substring("__key", 2 * i + 1, 2)).alias(f"a{i}") for i in range(WIDTH)], *[F.max(F.substring("__key", 2 * i + 1, 2)).alias(f"b{i}") for i in range(WIDTH)]).first()
-    for i in range(WIDTH):
+    # A digit that is equal in all records needs no round.
+    digits = range(0, 2 * WIDTH, 2 * DIGIT)
+    part = lambda i: F.substring("__key", i + 1, 2 * DIGIT)
+    spans = narrow.agg(*[F.min(part(i)).alias(f"a{i}") for i in digits], *[F.max(part(i)).alias(f"b{i}") for i in digits]).first()
+    active = narrow
+    for i in digits:
         if spans[f"a{i}"] == spans[f"b{i}"]:
             cut = cut.withColumn("_cut", F.when(F.col("_left") > 0, F.concat("_cut", F.lit(spans[f"a{i}"] or ""))).otherwise(F.col("_cut")))
             continue
-        cut = stored(_round(narrow, cut, by, i), "cap-cut")
+        # Only the records that match their contributor's cutoff so far are read again.
+        cut = stored(cut, "cap-cut")
+        active = stored(active.join(cut.where("_left > 0").select(*by, "_cut"), by).where(F.col("__key").startswith(F.col("_cut"))).select(*by, "__key"), "cap-active")
+        cut = stored(_round(active, cut, by, part(i)), "cap-cut")
         if cut.where("_left > 0").isEmpty():
             break
     # A contributor whose limit ended exactly at a digit has a shorter cutoff: all below it, whatever follows, are kept.
@@ -71,13 +77,12 @@ def cap(records: DataFrame, contributor: list[str], score: str, ident: str, limi
     return out.withColumn("kept", F.col("__bound").isNull() | (F.col("__key") <= F.col("__bound"))).drop("__key", "__bound", *[f"__{g}" for g in by])
 
 
-def _round(narrow: DataFrame, cut: DataFrame, by: list[str], i: int) -> DataFrame:
-    """Fix byte i of every contributor's cutoff. ``_left``: how many of the rows that match the cutoff are still to be kept; 0 = the cutoff is final, -1 = none is kept."""
+def _round(active: DataFrame, cut: DataFrame, by: list[str], digit: Column) -> DataFrame:
+    """Fix the next digit of every contributor's cutoff. ``_left``: how many of the rows that match the cutoff are still to be kept; 0 = the cutoff is final, -1 = none is kept."""
     done, open_ = cut.where("_left <= 0"), cut.where("_left > 0")
-    active = narrow.join(open_, by).where(F.col("__key").startswith(F.col("_cut")))
-    counts = active.groupBy(*by, "_cut", "_left", F.substring("__key", 2 * i + 1, 2).alias("_digit")).agg(F.count("*").alias("_n"))
+    counts = active.groupBy(*by, digit.alias("_digit")).agg(F.count("*").alias("_n")).join(open_, by)
     w = Window.partitionBy(*by).orderBy("_digit")
-    total = counts.withColumn("_upto", F.sum("_n").over(w)).withColumn("_next", F.lead("_digit").over(w))
+    total = counts.withColumn("_upto", F.sum("_n").over(w))
     # The cutoff's digit is the first with which the limit is reached.
     first = total.where((F.col("_upto") >= F.col("_left")) & (F.col("_upto") - F.col("_n") < F.col("_left")))
     left = F.col("_left") - (F.col("_upto") - F.col("_n"))

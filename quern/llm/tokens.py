@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 # Fixed value: the split pattern of byte-level BPE; (?U) gives \s its Unicode meaning in Java.
 SPLIT = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLOCK_DOCS, BLOCK_WORDS = 2_000, 500_000
-BLOCK = "block bigint, ids array<bigint>, lengths array<int>, at array<int>, dictionary array<string>"
+BLOCK = "block bigint, ids array<bigint>, lengths array<int>, at array<int>, dictionary array<{}>"
 
 
 @functools.cache
@@ -47,17 +48,27 @@ def pieces_of(text):
     return F.when(F.length(text) > 0, split).otherwise(F.array().cast("array<string>"))
 
 
+def block_number(count: int) -> int:
+    """A block's own number: its partition and its place in it. Blocks are stored before anything is joined to them."""
+    return (TaskContext.get().partitionId() << 32) | count
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow kernel (id, lists) -> blocks: the ids, the lengths of their lists, and the lists' values as places in a dictionary."""
+    count = 0
+    one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
+
     def emit(ids: pa.Array, lists: pa.Array) -> pa.RecordBatch:
+        nonlocal count
         coded = lists.flatten().dictionary_encode()
         lengths = pc.fill_null(pc.list_value_length(lists), 0).cast(pa.int32())
-        one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-        return pa.RecordBatch.from_arrays(
-            [ids.slice(0, 1), one(ids), one(lengths), one(coded.indices), one(coded.dictionary.cast(pa.string()))], ["block", "ids", "lengths", "at", "dictionary"]
-        )
+        count += 1
+        return pa.RecordBatch.from_arrays([pa.array([block_number(count)]), one(ids), one(lengths), one(coded.indices), one(coded.dictionary)], ["block", "ids", "lengths", "at", "dictionary"])
 
     for batch in batches:
         ids, lists = batch.column(0), batch.column(1)
+        if pa.types.is_large_list(lists.type) or pa.types.is_large_string(lists.type.value_type):
+            lists = lists.cast(pa.list_(pa.string()))
         start, held = 0, 0
         sizes = pc.fill_null(pc.list_value_length(lists), 0).to_pylist()
         for i, n in enumerate(sizes):
@@ -100,10 +111,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
 
     Null and empty texts give an empty list; strings that look like special tokens are ordinary text; a
     repeated row comes out as often as it goes in; other columns are ignored whatever their names.
-    ``id_col`` is a unique bigint. ``tokenizer`` is a file that every executor can read.
+    ``id_col`` is a bigint and need not be unique. ``tokenizer`` is a file that every executor can read.
     """
     split = docs.select(F.col(id_col).cast("bigint").alias("id"), pieces_of(F.col(text_col)).alias("words"))
-    blocks = stored(split.mapInArrow(_blocks, BLOCK), "token-blocks")
+    blocks = stored(split.mapInArrow(_blocks, BLOCK.format("string")), "token-blocks")
     entries = blocks.select("block", F.posexplode("dictionary").alias("i", "piece"))
     table = entries.select("piece").distinct().mapInArrow(_encoder(tokenizer), "piece string, piece_ids array<int>")
     found = entries.join(table, "piece").groupBy("block").agg(F.collect_list(F.struct("i", "piece_ids")).alias("e"))
@@ -125,14 +136,33 @@ def pieces(spark, tokenizer: str = TOKENIZER) -> DataFrame:
     return spark.createDataFrame(rows, "id int, piece binary")
 
 
+def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow kernel over blocks and the bytes of their distinct ids -> (id, text)."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            ids, lengths, at, where, found = (batch.column(c)[row].as_py() for c in ("ids", "lengths", "at", "where", "found"))
+            table = dict(zip(where, found))
+            texts, start = [], 0
+            for n in lengths:
+                parts = [table.get(k) for k in at[start : start + n]]
+                start += n
+                texts.append(None if None in parts else b"".join(parts).decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
+
+
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", tokenizer: str = TOKENIZER) -> DataFrame:
-    """(id_col, text): the text of each list of ids, through a join of ids to pieces. An empty list gives ''; ``id_col`` is unique.
+    """(id_col, text): the text of each list of ids, through a join of ids to pieces.
 
-    The vocabulary has a fixed number of rows, so it may be broadcast. An id without a piece gives a null text.
+    Only each block's distinct ids are joined and shuffled; texts are put together inside their blocks. An empty or null list gives
+    '', an id without a piece (a null too) a null text, bytes that are no UTF-8 the replacement character; a repeated row comes out as often as it goes in.
+    ``id_col`` is a bigint. The vocabulary has a fixed number of rows, so it may be broadcast.
     """
-    table = F.broadcast(pieces(encoded.sparkSession, tokenizer).select(F.col("id").alias("_id"), F.hex("piece").alias("_hex")))
-    each = encoded.select(F.col(id_col), F.posexplode_outer(ids_col).alias("_at", "_token")).join(table, F.col("_token") == F.col("_id"), "left")
-    whole = each.groupBy(id_col).agg(F.sort_array(F.collect_list(F.when(F.col("_token").isNotNull(), F.struct("_at", "_hex")))).alias("_parts"))
-    bad = F.exists("_parts", lambda p: p["_hex"].isNull())
-    text = F.decode(F.unhex(F.array_join(F.transform("_parts", lambda p: p["_hex"]), "")), "UTF-8")
-    return whole.select(id_col, F.when(~bad, text).alias("text"))
+    table = F.broadcast(pieces(encoded.sparkSession, tokenizer).withColumnRenamed("id", "_token"))
+    rows = encoded.select(F.col(id_col).cast("bigint").alias("id"), F.col(ids_col).cast("array<int>").alias("tokens"))
+    blocks = stored(rows.mapInArrow(_blocks, BLOCK.format("int")), "id-blocks")
+    entries = blocks.select("block", F.posexplode("dictionary").alias("i", "_token")).join(table, "_token", "left")
+    found = entries.groupBy("block").agg(F.collect_list(F.struct("i", "piece")).alias("e")).select(F.col("block").alias("_b"), F.col("e.i").alias("where"), F.col("e.piece").alias("found"))
+    whole = blocks.join(found, F.col("block") == F.col("_b"), "left").select(
+        "ids", "lengths", "at", F.coalesce("where", F.array().cast("array<int>")).alias("where"), F.coalesce("found", F.array().cast("array<binary>")).alias("found")
+    )
+    return whole.mapInArrow(_spell, "id bigint, text string").select(F.col("id").alias(id_col), "text")

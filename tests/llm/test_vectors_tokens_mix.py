@@ -100,3 +100,17 @@ def test_mix(spark):
     fixed = mix.shares(mix.mix(df, targets, total=100_000), targets).collect()
     assert sum(r.tokens for r in fixed) <= 100_000  # every document as often as allowed, no more
     assert mix.mix(df.where("doc_id < 0"), targets).collect() == [] and mix.mix(df, targets.where("source = 'x'")).collect() == []
+
+
+def test_a_repeated_row_that_begins_two_blocks_changes_no_other_ids(spark, monkeypatch):
+    one = spark.createDataFrame([(1, "the first row"), (2, "something else, entirely")], "doc_id bigint, text string").coalesce(1)
+    two = spark.createDataFrame([(1, "the first row"), (3, "yet another text of the corpus")], "doc_id bigint, text string").coalesce(1)
+    both = one.union(two)
+    tokenizer = tokens._tokenizer(tokens.TOKENIZER)
+    want = sorted((r.doc_id, tokenizer.encode(r.text, add_special_tokens=False).ids) for r in both.collect())
+    encoded = tokens.encode(both)
+    assert sorted((r.doc_id, r.ids) for r in encoded.collect()) == want
+    assert sorted((r.doc_id, r.text) for r in tokens.decode(encoded).collect()) == sorted((r.doc_id, r.text) for r in both.collect())
+    odd = spark.createDataFrame([(1, [0, 60_000]), (2, None), (3, []), (4, [None]), (5, [72, 101])], "doc_id bigint, ids array<int>").withColumn("at", F.lit(1))
+    got = {r.doc_id: r.text for r in tokens.decode(odd).collect()}
+    assert got[1] is None and got[2] == got[3] == "" and got[4] is None and len(got[5]) == 2
