@@ -8,7 +8,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from urllib.parse import quote
 
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,19 @@ def _clean() -> None:
             return
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system's scheme, so that kernels open the same file system as Spark does."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
+def opened(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system and the path within it of a qualified path, for kernels."""
+    if "://" not in path:
+        path = "file://" + quote(path.removeprefix("file:"))
+    return pafs.FileSystem.from_uri(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = new_path(df.sparkSession, name)

@@ -59,14 +59,17 @@ def budgets(leaves: list[dict], total: float | None = None) -> dict[str, float]:
     return down(leaves, total, 0) if leaves else {}
 
 
-def plan(docs: DataFrame, targets: DataFrame, total: float | None = None, domain: str = "podcasts") -> list[dict]:
+def plan(docs: DataFrame, targets: DataFrame, total: float | None = None, of_room: float | None = None) -> list[dict]:
     """Leaves with their budgets. ``docs``: (source key, lang, tokens); a source's language is the one of most of its tokens. One row for each target reaches the driver."""
+    domain = F.min("domain") if "domain" in targets.columns else F.lit(None).cast("string")
     sizes = docs.groupBy("source", "lang").agg(F.sum("tokens").alias("n")).groupBy("source").agg(F.sum("n").alias("n"), F.max_by("lang", F.struct("n", "lang")).alias("lang"))
-    wanted = targets.where("source is not null").groupBy(source_key(F.col("source")).alias("source")).agg(F.sum("target_share").alias("weight"), F.max(F.coalesce("max_repeats", F.lit(1))).alias("repeats"))
+    wanted = targets.where("source is not null").groupBy(source_key(F.col("source")).alias("source")).agg(F.sum("target_share").alias("weight"), F.max(F.coalesce("max_repeats", F.lit(1))).alias("repeats"), domain.alias("domain"))
     rows = wanted.join(sizes, "source", "left").orderBy("source").collect()
     leaves = [
-        {"name": r.source, "path": [domain, r.lang or "und"], "weight": max(r.weight or 0.0, 0.0), "size": r.n or 0, "repeats": max(r.repeats, 0), "room": float((r.n or 0) * max(r.repeats, 0))} for r in rows
+        {"name": r.source, "path": [r.domain or "", r.lang or "und"], "weight": max(r.weight or 0.0, 0.0), "size": r.n or 0, "repeats": max(r.repeats, 0), "room": float((r.n or 0) * max(r.repeats, 0))} for r in rows
     ]
+    if of_room is not None:
+        total = of_room * sum(x["room"] for x in leaves if x["weight"] > 0)
     given = budgets(leaves, total)
     return [leaf | {"budget": given.get(leaf["name"], 0.0)} for leaf in leaves]
 
@@ -79,15 +82,17 @@ def counted(docs: DataFrame, targets: DataFrame, tokenizer_file: str = tokenizer
     return stored(own.select("doc_id", "source", F.coalesce("lang", F.lit("und")).alias("lang")).join(sized, "doc_id"), "mix-sizes")
 
 
-def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 1, tokenizer_file: str = tokenizer.TOKENIZER) -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 1, tokenizer_file: str = tokenizer.TOKENIZER, of_room: float | None = None) -> DataFrame:
     """(doc_id, source, epoch, tokens): a row for each use of a document, epochs from 0, sources in one spelling.
 
     ``docs``: doc_id (unique), text, lang, source; ``targets``: source, target_share, max_repeats (null: once; 0: never). Documents of
     other and of null sources and those without tokens are not used. A target whose source has no documents leaves its
-    share to its siblings. Shares are met to within half a document of each source.
+    share to its siblings: the sources of its domain (a column ``domain`` of ``targets``, if there is one) and language first. Shares are met
+    to within half a document of each source. The size is ``total`` tokens, or the part ``of_room`` of all that the sources
+    may give with their repetitions, or else the largest with which every source that has documents gets its full share.
     """
     sized = counted(docs, targets, tokenizer_file)
-    leaves = [x for x in plan(sized, targets, total) if x["budget"] > 0]
+    leaves = [x for x in plan(sized, targets, total, of_room) if x["budget"] > 0]
     schema = "source string, whole int, rest double"
     rows = []
     for x in leaves:

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import hnsw, mix, tokens
 
+VECTORS = "/root/testdata/sf0.1/vectors.parquet"
 ODD = [
     None, "", " ", "  \n\n\t ", "a  b", "it's WE'LL they'd", "<|endoftext|> x<|endoftext|>", "日本語のテキスト、です。", "é́ ﬁ ½ ٣٤ ００", "👨‍👩‍👧🎙️ ok", "​﻿­", "x" * 5000, "\r\n \r\n", "a b\u0085c  d",
     "\U0001FAE8 \U00032000 new", "1234567890" * 3, "'s's 're", "퟿\U0010ffff", "!!! ... ?? --", "word " * 3000, "\x00\x1c\x1f",
@@ -114,3 +116,30 @@ def test_a_repeated_row_that_begins_two_blocks_changes_no_other_ids(spark, monke
     odd = spark.createDataFrame([(1, [0, 60_000]), (2, None), (3, []), (4, [None]), (5, [72, 101])], "doc_id bigint, ids array<int>").withColumn("at", F.lit(1))
     got = {r.doc_id: r.text for r in tokens.decode(odd).collect()}
     assert got[1] is None and got[2] == got[3] == "" and got[4] is None and len(got[5]) == 2
+
+
+@pytest.mark.skipif(not os.path.exists(VECTORS), reason="the test tables are not here")
+def test_recall_with_far_more_clusters_than_probes(spark):
+    v = spark.read.parquet(VECTORS).select("id", "embedding")
+    found = hnsw.neighbours(v, "id", "embedding", 48, k=5, shard_rows=50)
+    rows = hnsw.valid(v, "id", "embedding", 48).collect()
+    ids, x = np.array([r.id for r in rows]), np.array([r.embedding for r in rows], np.float64)
+    assert len(ids) / 50 >= 70 > 3 * hnsw.probes_of(80)
+    want = {(ids[i], ids[j]) for i, row in enumerate(exact(x)) for j in row}
+    got = {(r.id, r.other) for r in found.collect()}
+    recall = len(got & want) / len(want)
+    assert recall >= 0.95, recall
+
+
+def test_mix_that_runs_short(spark):
+    """Shares are exact where nothing is short; where a source is, its siblings of the same domain and language take its share first, then the other domain."""
+    def docs(at, n, source, lang):
+        return [(at + i, "some words here and there", lang, source) for i in range(n)]
+    df = spark.createDataFrame(docs(0, 40, "a1", "en") + docs(100, 200, "a2", "en") + docs(400, 60, "b1", "de"), "doc_id bigint, text string, lang string, source string")
+    targets = spark.createDataFrame([("a1", 0.4, 2, "a"), ("a2", 0.2, 2, "a"), ("b1", 0.4, 3, "b")], "source string, target_share double, max_repeats int, domain string")
+    each = 5
+    got = {r.source: (r.uses, r.total_tokens) for r in mix.shares(mix.mix(df, targets, total=300 * each), targets).collect()}
+    assert got["a1"][0] == 80 and got["a2"][0] == 100 and got["b1"][0] == 120  # a1 gives all it may, its sibling takes the rest, b1 has its own share
+    rows = mix.mix(df, targets, of_room=0.9).collect()  # 594 of 660: b1 too is short
+    uses = {s: sum(r.source == s for r in rows) for s in ("a1", "a2", "b1")}
+    assert uses == {"a1": 80, "a2": 334, "b1": 180} and max(r.epoch for r in rows) == 2 and len({(r.doc_id, r.epoch) for r in rows}) == len(rows)
