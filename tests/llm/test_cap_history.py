@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quern.llm import cap, history
@@ -72,13 +73,75 @@ def test_history(spark):
     assert history.repeats(docs.where("b > 5"), "r", "b", "t", "u").collect() == []
 
 
-def test_frequent_prints_are_found_by_the_other_way(spark, monkeypatch):
-    monkeypatch.setattr(history, "FREQUENT", 1)
-    rows = [(i, 0, None, text(1)) for i in range(5)] + [(10, 1, None, edited(text(1))), (11, 1, None, text(9))]
+def test_prints_of_many_histories_are_looked_up_when_needed(spark, monkeypatch):
+    monkeypatch.setattr(history, "CARRIED", 0)
+    rows = [(i, 0, None, edited(text(1), 20 + i)) for i in range(5)] + [(10, 1, None, edited(text(1))), (11, 1, None, text(9))]
     got = history.repeats(spark.createDataFrame(rows, "r bigint, b int, u string, t string"), "r", "b", "t", "u", shingle=3, similarity=0.6).collect()
     assert [r.r for r in got] == [10]
 
 
+def shingled(t):
+    w = t.lower().split()
+    return {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+
+
+@pytest.mark.parametrize("options", [{}, {"prints": None, "coverage": 0.0}])
+def test_history_equals_brute_force(spark, options):
+    """Variants of few texts with a notice that all of them hold, at the defaults and by the exact way."""
+    rnd = random.Random(5)
+    notice = text(99, 30)
+    def variant(seed):
+        w = text(seed, 90).split()
+        for _ in range(rnd.randint(0, 9)):
+            i = rnd.randrange(len(w))
+            w[i : i + rnd.randint(0, 1)] = ["changed"] * rnd.randint(0, 2)
+        return " ".join(w) + " " + notice
+    rows = [(i, i // 40, None, variant(rnd.randrange(25))) for i in range(120)]
+    sets = {i: (b, shingled(t)) for i, b, _, t in rows}
+    want = {i for i, (b, s) in sets.items() if any(c < b and len(s & o) >= 0.6 * len(s | o) - 1e-9 for c, o in sets.values())}
+    docs = spark.createDataFrame(rows, "r bigint, b int, u string, t string")
+    assert {r.r for r in history.repeats(docs, "r", "b", "t", "u", shingle=3, similarity=0.6, **options).collect()} == want and 20 < len(want) < 80
+
+
+def test_store_is_opened_again(spark, tmp_path):
+    at, shape = str(tmp_path / "store"), "r bigint, u string, t string"
+    def take(rows):
+        store = history.Store(spark, at, shingle=3, similarity=0.6)
+        return sorted(r.r for r in store.take(spark.createDataFrame(rows, shape), "r", "t", "u").collect())
+    assert take([(1, "https://h/e/1", text(1)), (2, None, text(2))]) == []
+    assert take([(3, "http://h/e/1/", "short"), (4, None, edited(text(2))), (5, None, text(3))]) == [3, 4]
+    # A batch that was cut off before its end leaves tables but no commit: it counts for nothing and its number is used again.
+    whole = history.Store(spark, at, shingle=3, similarity=0.6)
+    cut = spark.createDataFrame([(6, None, text(4))], shape)
+    whole.spark = Cut(spark)
+    with pytest.raises(RuntimeError):
+        whole.take(cut, "r", "t", "u")
+    assert (tmp_path / "store" / "prints" / "batch=2").exists()
+    assert take([(7, None, text(4)), (8, None, text(3).upper())]) == [8]
+    assert take([(9, None, text(4))]) == [9]
+    with pytest.raises(ValueError):
+        history.Store(spark, at, shingle=5)
+    import shutil
+    shutil.rmtree(tmp_path / "store" / "filters" / "batch=0")
+    with pytest.raises(Exception, match="cannot be seen"):
+        take([(10, None, text(60))])
+
+
+class Cut:
+    """A session that fails at the commit of a batch."""
+
+    def __init__(self, spark):
+        self._spark = spark
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+    def range(self, *args):
+        if args == (1,):
+            raise RuntimeError("cut off")
+        return self._spark.range(*args)
+
+
 def test_hot_prints_are_looked_up_whatever_else_a_text_holds(spark):
     """An edited copy of a text that over FREQUENT histories hold in variants, with over half of its prints its own; FREQUENT as it is."""
     base = text(1, 240).split()
@@ -96,4 +159,4 @@ def test_history_keeps_the_prints_of_equal_texts_once(spark, tmp_path):
     for n in range(3):
         got = store.take(spark.createDataFrame([(10 * n + i, None, text(1)) for i in range(4)], "r bigint, u string, t string"), "r", "t", "u")
         assert sorted(r.r for r in got.collect()) == ([10 * n + i for i in range(4)] if n else [])
-    assert spark.read.schema("id bigint").option("recursiveFileLookup", "true").parquet(*store._at("prints")).distinct().count() == 1
+    assert spark.read.schema("id bigint").option("recursiveFileLookup", "true").parquet(*store._at("sets")).distinct().count() == 1

@@ -99,12 +99,14 @@ def brute(rows, least=40, t=0.6):
 @pytest.mark.parametrize("small", [False, True])
 def test_alike_pairs_equal_brute_force(spark, monkeypatch, small):
     if small:  # every group is frequent and split into cells, and trees have more than a leaf
-        for name, value in {"FREQUENT": 0, "CELL": 3, "LEAF": 1, "ENOUGH": 48}.items():
+        for name, value in {"FREQUENT": 0, "CELL": 3, "LEAF": 1}.items():
             monkeypatch.setattr(signature, name, value)
     rows = corpus()
     docs = spark.createDataFrame(rows, "r bigint, t string").withColumn("id", F.lit("clash")).withColumn("a", F.lit(0))
     got = [(r.a, r.b) for r in signature.alike_pairs(docs, "r", "t", 3, 0.6).collect()]
     assert len(got) == len(set(got)) and set(got) == brute(rows)
+    if not small:  # with all runs, by the exact way
+        assert {(r.a, r.b) for r in signature.alike_pairs(docs, "r", "t", 3, 0.6, runs=None).collect()} == brute(rows)
     classes = {r.r: r for r in signature.alike_classes(docs, "r", "t", 3, 0.6).collect()}
     assert classes[124].class_id == classes[123].class_id and 120 not in classes
     assert signature.alike_pairs(docs.where("r > 1000"), "r", "t").collect() == []
