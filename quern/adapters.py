@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import time
 import urllib.error
@@ -32,6 +33,19 @@ class Generator(Protocol):
     def complete(self, messages: list[dict[str, str]]) -> str: ...
 
 
+class StoredFetcher:
+    """Pages of a folder that ``sinks.keep_pages`` filled, read once on each executor; for runs without the network and for tests."""
+
+    def __init__(self, folder: str):
+        import pyarrow.dataset as ds
+
+        table = ds.dataset(folder, format="parquet").to_table(columns=["url", "html"])
+        self.pages = dict(zip(table.column("url").to_pylist(), table.column("html").to_pylist()))
+
+    def fetch(self, url: str) -> str:
+        return self.pages[url]
+
+
 class HttpFetcher:
     """GET with retries: ``retries`` times on the statuses that may pass and on connection errors, waiting longer each time; a pause with jitter before each request."""
 
@@ -83,6 +97,39 @@ class HashEmbedder:
         return out / np.where(size > 0, size, 1)
 
 
+class LetterEmbedder:
+    """Counts of the letters a to z: vectors that SQL can follow. No model, for tests only."""
+
+    dims = 26
+
+    def embed(self, texts: list[str]) -> np.ndarray:
+        low = [t.lower() for t in texts]
+        return np.array([[t.count(c) for c in "abcdefghijklmnopqrstuvwxyz"] for t in low], np.float32).reshape(len(texts), 26)
+
+
+class WordRewriter:
+    """Rewrites by rule: words of five letters and more as terms, the first three words as core query, and all words backwards. No model, for tests and dry runs."""
+
+    def models(self) -> list[str]:
+        return ["words"]
+
+    def complete(self, messages: list[dict[str, str]]) -> str:
+        words = messages[-1]["content"].rpartition("Question: ")[2].split(" ")
+        return json.dumps({"canonical_terms": [w for w in words if len(w) >= 5], "core_query": " ".join(words[:3]), "retrieval_queries": [" ".join(words[::-1])]}, ensure_ascii=False)
+
+
+class EchoFetcher:
+    """Answers an address with itself; those that hold ``fails`` fail. For tests."""
+
+    def __init__(self, fails: str = "\0"):
+        self.fails = fails
+
+    def fetch(self, url: str) -> str:
+        if self.fails in url:
+            raise ValueError(f"no page at {url}")
+        return url
+
+
 class EchoGenerator:
     """Answers with the alternating lines of two speakers; for dry runs."""
 
@@ -93,6 +140,29 @@ class EchoGenerator:
         return "A: " + messages[-1]["content"].splitlines()[0] + "\nB: Go on."
 
 
+class ChatGenerator:
+    """A chat model behind an HTTP endpoint of the common form: GET {base}/models, POST {base}/chat/completions."""
+
+    def __init__(self, base_url: str, model: str, temperature: float = 0.65, top_p: float = 0.9, max_tokens: int = 9_000, timeout: float = 1_200, key: str = ""):
+        self.base_url, self.model, self.timeout, self.key = base_url.rstrip("/"), model, timeout, key
+        self.settings = {"model": model, "temperature": temperature, "top_p": top_p, "max_tokens": max_tokens}
+
+    def _ask(self, path: str, body: dict | None = None) -> dict:
+        headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.key}"} if self.key else {})
+        request = urllib.request.Request(self.base_url + path, data=None if body is None else json.dumps(body).encode(), headers=headers)
+        with urllib.request.urlopen(request, timeout=self.timeout) as answer:
+            return json.load(answer)
+
+    def models(self) -> list[str]:
+        return [m["id"] for m in self._ask("/models").get("data", [])]
+
+    def complete(self, messages: list[dict[str, str]]) -> str:
+        found = self._ask("/chat/completions", self.settings | {"messages": messages})["choices"][0]["message"].get("content") or ""
+        if not found.strip():
+            raise ValueError("the model gave no text")
+        return found
+
+
 def assert_model(generator: Generator, model: str) -> None:
     if model not in generator.models():
         raise ValueError(f"model {model} is not available: {', '.join(generator.models())}")
@@ -116,8 +186,14 @@ def embedded(rows: DataFrame, text: str, make: Callable[[], Embedder], column: s
     return rows.mapInArrow(run, schema)
 
 
-def fetched(links: DataFrame, fetch: Callable[[], Fetcher], url: str = "url") -> DataFrame:
-    """``links`` with ``html`` and ``error``: one page's failure is a value in its row and never fails the job."""
+def fetched(links: DataFrame, fetch: Callable[[], Fetcher] | DataFrame, url: str = "url") -> DataFrame:
+    """``links`` with ``html`` and ``error``: one page's failure is a value in its row and never fails the job.
+
+    ``fetch`` makes a fetcher on the executors, or is a table of pages (url, html), each address once, which is joined.
+    """
+    if isinstance(fetch, DataFrame):
+        pages = fetch.select(F.col("url").alias("_url"), "html")
+        return links.join(pages, F.col(url) == F.col("_url"), "left").drop("_url").withColumn("error", F.when(F.col("html").isNull(), F.lit("KeyError: no such page")))
     from pyspark.sql.types import StringType, StructField, StructType
 
     schema = StructType([*links.schema.fields, StructField("html", StringType()), StructField("error", StringType())])
@@ -138,5 +214,12 @@ def fetched(links: DataFrame, fetch: Callable[[], Fetcher], url: str = "url") ->
     return links.mapInArrow(run, schema)
 
 
-def fetch_summary(pages: DataFrame) -> DataFrame:
-    return pages.agg(F.count_if(F.col("error").isNull()).alias("written"), F.count_if(F.col("error").isNotNull()).alias("failed"))
+def fetch_summary(pages: DataFrame, links: DataFrame | None = None, key: str | None = None) -> DataFrame:
+    """(written, skipped, failed) of fetched pages, for each ``key`` if there is one. ``links``: all links there were; those that were not fetched are skipped."""
+    got = pages.groupBy(*([key] if key else [])).agg(F.count_if(F.col("error").isNull()).alias("written"), F.count_if(F.col("error").isNotNull()).alias("failed"))
+    if links is None:
+        return got
+    every = links.groupBy(*([key] if key else [])).agg(F.count("*").alias("_links"))
+    both = every.join(got, key, "left") if key else every.crossJoin(got)  # two single rows
+    written, failed = F.coalesce("written", F.lit(0)), F.coalesce("failed", F.lit(0))
+    return both.select(*([key] if key else []), written.alias("written"), (F.col("_links") - written - failed).alias("skipped"), failed.alias("failed"))

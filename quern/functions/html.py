@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from html.parser import HTMLParser
 from urllib.parse import parse_qs, urljoin, urlparse
 
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+import pyarrow as pa
+
+from quern.functions.layout import arrow
 
 # Parts of a page that are no text of it, and elements that have no end tag.
 NOISE = frozenset("script style noscript svg header footer nav aside form button".split())
@@ -158,38 +159,31 @@ def episode_cards(html: str, page: str) -> list[dict]:
     return out
 
 
-def _struct(**kinds) -> ArrayType:
-    return ArrayType(StructType([StructField(k, v) for k, v in kinds.items()]))
-
-
-_S = StringType()
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def visible_lines_udf(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: visible_lines(h or ""))
-
-
-@F.pandas_udf(LongType())
-def total_pages_udf(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: total_pages(h or ""))
+def _over(to: pa.DataType, read: Callable):
+    """An Arrow UDF of ``read`` over pages; null pages are read as empty ones."""
 
+    @arrow(to)
+    def run(html: pa.Array) -> pa.Array:
+        return pa.array([read(h or "") for h in html.to_pylist()], to)
 
-@F.pandas_udf(StringType())
-def page_title_udf(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: page_title(h or ""))
+    return run
 
 
-@F.pandas_udf(StringType())
-def episode_title_udf(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: episode_title(h or ""))
+def _cards(read: Callable, **fields: pa.DataType):
+    """An Arrow UDF of ``read`` over pages and their addresses: a list of structs for each page."""
+    to = pa.list_(pa.struct(list(fields.items())))
 
+    @arrow(to)
+    def run(html: pa.Array, page: pa.Array) -> pa.Array:
+        return pa.array([read(h or "", p or "") for h, p in zip(html.to_pylist(), page.to_pylist())], to)
 
-@F.pandas_udf(_struct(title=_S, url=_S, slug=_S, catalog_page_url=_S, episode_count=LongType(), views_text=_S))
-def podcast_cards_udf(html: pd.Series, page: pd.Series) -> pd.Series:
-    return pd.Series([podcast_cards(h or "", p or "") for h, p in zip(html, page)])
+    return run
 
 
-@F.pandas_udf(_struct(title=_S, url=_S, list_page_url=_S, description=_S, duration=_S, published_text=_S))
-def episode_cards_udf(html: pd.Series, page: pd.Series) -> pd.Series:
-    return pd.Series([episode_cards(h or "", p or "") for h, p in zip(html, page)])
+_S = pa.string()
+visible_lines_udf = _over(pa.list_(_S), visible_lines)
+total_pages_udf = _over(pa.int64(), total_pages)
+page_title_udf = _over(_S, page_title)
+episode_title_udf = _over(_S, episode_title)
+podcast_cards_udf = _cards(podcast_cards, title=_S, url=_S, slug=_S, catalog_page_url=_S, episode_count=pa.int64(), views_text=_S)
+episode_cards_udf = _cards(episode_cards, title=_S, url=_S, list_page_url=_S, description=_S, duration=_S, published_text=_S)

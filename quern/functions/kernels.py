@@ -5,14 +5,47 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+import pyarrow as pa
 
-BLOCK = "array<struct<timestamp:string,text:string>>"
-PACKED = "array<struct<start_timestamp:string,end_timestamp:string,char_count:bigint,block_count:bigint,text:string>>"
+from quern.functions.layout import arrow
+
+_BLOCK = pa.list_(pa.struct([("timestamp", pa.string()), ("text", pa.string())]))
+_PACKED = pa.list_(pa.struct([("start_timestamp", pa.string()), ("end_timestamp", pa.string()), ("char_count", pa.int64()), ("block_count", pa.int64()), ("text", pa.string())]))
 _SENTENCE = re.compile(r"(?<=[.!?。！？])\s+")
+_TIMED = re.compile(r"\[?(\d{1,2}:\d{2}(?::\d{2})?)\]?\s*(.*)")
+_NOON = re.compile(r"\b(?:am|pm)\b")
+_PARAGRAPH = re.compile(r"\n\s*\n+")
+
+
+def time_blocks(text: str) -> tuple[list[dict], bool]:
+    """(blocks, timestamp-aware) of a text, in one pass over its lines.
+
+    With two or more timestamp lines a block is the lines from one of them to the next, and what stands before the first has no
+    time; a time without any words behind it gives no block. Else each paragraph is a block. A line whose rest speaks of am or pm is no timestamp line.
+    """
+    blocks: list[dict] = []
+    held: list[str] = []
+    stamp, times = None, 0
+
+    def close() -> None:
+        if held:
+            blocks.append({"timestamp": stamp, "text": "\n".join(held).strip()})
+
+    for line in text.splitlines():
+        line = line.strip()
+        found = _TIMED.match(line) if line[:1] == "[" or line[:1].isdigit() else None
+        if found and not _NOON.search(found[2].lower()):
+            close()
+            rest = found[2].strip()
+            held, stamp, times = [rest] if rest else [], found[1], times + 1
+        elif line or held:
+            held.append(line)
+    close()
+    if times >= 2:
+        return blocks, True
+    return [{"timestamp": None, "text": p} for p in (p.strip() for p in _PARAGRAPH.split(text)) if p], False
 
 
 def split_long(text: str, most: int) -> list[str]:
@@ -51,19 +84,22 @@ def split_long(text: str, most: int) -> list[str]:
 
 
 def pack_blocks(blocks: list[dict], target: int, most: int, least: int, overlap: int) -> list[dict]:
-    """Chunks of consecutive blocks: up to ``target`` characters, never beyond ``most``, the next chunk beginning ``overlap`` blocks earlier; small ones merged or dropped."""
+    """Chunks of consecutive blocks: up to ``target`` characters, never beyond ``most``, the next chunk beginning ``overlap`` blocks earlier; small ones merged or dropped.
+
+    A chunk's times are those of its first and its last block, null where these have none.
+    """
     chunks, start = [], 0
+    sizes = [len(b["text"]) for b in blocks]
     while start < len(blocks):
         end, size = start, 0
-        while end < len(blocks) and (end == start or size + len(blocks[end]["text"]) <= most):
-            size += len(blocks[end]["text"]) + 2
+        while end < len(blocks) and (end == start or size + sizes[end] <= most):
+            size += sizes[end] + 2
             end += 1
             if size >= target:
                 break
         taken = blocks[start:end]
-        times = [b["timestamp"] for b in taken if b["timestamp"]]
         text = "\n\n".join(b["text"] for b in taken).strip()
-        chunks.append({"start_timestamp": times[0] if times else None, "end_timestamp": times[-1] if times else None, "char_count": len(text), "block_count": len(taken), "text": text})
+        chunks.append({"start_timestamp": taken[0]["timestamp"], "end_timestamp": taken[-1]["timestamp"], "char_count": len(text), "block_count": len(taken), "text": text})
         if end >= len(blocks):
             break
         start = max(start + 1, end - overlap)
@@ -98,22 +134,30 @@ def _joined(a: dict, b: dict, start: str | None, end: str | None) -> dict:
     return {"start_timestamp": start, "end_timestamp": end, "char_count": len(text), "block_count": a["block_count"] + b["block_count"], "text": text}
 
 
-def split_blocks(most: int):
-    """Column function: each block's text split to at most ``most`` characters, the pieces keeping its time; texts within it do not change."""
+def split_blocks(blocks: list[dict], most: int) -> list[dict]:
+    """Each block's text split to at most ``most`` characters, the pieces keeping its time."""
+    return [{"timestamp": b["timestamp"], "text": part} for b in blocks for part in split_long(b["text"] or "", most)]
 
-    @F.pandas_udf(BLOCK)
-    def run(blocks: pd.Series) -> pd.Series:
-        return blocks.map(lambda rows: [{"timestamp": r["timestamp"], "text": part} for r in rows for part in split_long(r["text"] or "", most)])
 
-    return run
+@arrow(pa.struct([("aware", pa.bool_()), ("blocks", _BLOCK)]))
+def blocks_udf(texts: pa.Array) -> pa.Array:
+    found = [time_blocks(t or "") for t in texts.to_pylist()]
+    return pa.StructArray.from_arrays([pa.array([aware for _, aware in found], pa.bool_()), pa.array([blocks for blocks, _ in found], _BLOCK)], ["aware", "blocks"])
 
 
-def chunk_blocks(target: int, most: int, least: int, overlap: int):
-    """Column function: the chunks of a document's blocks."""
+def chunks_udf(target: int, most: int, least: int, overlap: int) -> Callable:
+    """Column function text -> struct(aware, blocks, chunks): time blocks found, split and packed in one pass; ``blocks`` is their number after splitting."""
 
-    @F.pandas_udf(PACKED)
-    def run(blocks: pd.Series) -> pd.Series:
-        return blocks.map(lambda rows: pack_blocks(list(rows), target, most, least, overlap))
+    @arrow(pa.struct([("aware", pa.bool_()), ("blocks", pa.int64()), ("chunks", _PACKED)]))
+    def run(texts: pa.Array) -> pa.Array:
+        aware, counts, chunks = [], [], []
+        for text in texts.to_pylist():
+            raw, timed = time_blocks(text or "")
+            blocks = split_blocks(raw, most)
+            aware.append(timed)
+            counts.append(len(blocks))
+            chunks.append(pack_blocks(blocks, target, most, least, overlap))
+        return pa.StructArray.from_arrays([pa.array(aware, pa.bool_()), pa.array(counts, pa.int64()), pa.array(chunks, _PACKED)], ["aware", "blocks", "chunks"])
 
     return run
 
@@ -146,6 +190,6 @@ def strict_object(text: str | None) -> str | None:
     return None
 
 
-@F.pandas_udf(StringType())
-def json_object(text: pd.Series) -> pd.Series:
-    return text.map(strict_object)
+@arrow(pa.string())
+def json_object(text: pa.Array) -> pa.Array:
+    return pa.array([strict_object(t) for t in text.to_pylist()], pa.string())

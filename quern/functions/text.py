@@ -5,10 +5,11 @@ from __future__ import annotations
 import unicodedata
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+
+from quern.functions.layout import arrow
 
 # White space as Python counts it: Java's Unicode white space and the four information separators.
 SPACE = r"[\s\x1c-\x1f]"
@@ -35,9 +36,9 @@ def blank_to_null(x: Column) -> Column:
     return F.when(strip(x) != "", x)
 
 
-@F.pandas_udf(StringType())
-def _nfkc(x: pd.Series) -> pd.Series:
-    return x.map(lambda v: v if v is None else unicodedata.normalize("NFKC", v))
+@arrow(pa.string())
+def _nfkc(x: pa.Array) -> pa.Array:
+    return pa.array([v if v is None else unicodedata.normalize("NFKC", v) for v in x.to_pylist()], pa.string())
 
 
 def nfkc(x: Column) -> Column:
@@ -104,6 +105,16 @@ def without_source_notes(x: Column) -> Column:
     return out
 
 
+def run_stamp(at: Column) -> Column:
+    """A moment as runs are named by it: 20240131_235959."""
+    return F.date_format(at, "yyyyMMdd_HHmmss")
+
+
+def iso_stamp(at: Column) -> Column:
+    """A moment of a UTC session in ISO form, whole seconds."""
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
 def sentences(x: Column) -> Column:
     """Split at white space behind sentence punctuation."""
     return F.split(x, rf"(?U)(?<=[.!?。！？]){SPACE}+", -1)
@@ -160,9 +171,9 @@ def page_number(url: Column) -> Column:
     return F.nullif(F.regexp_extract(url, r"[?&]page=(\d+)", 1), F.lit("")).cast("bigint")
 
 
-@F.pandas_udf(StringType())
-def _urljoin(base: pd.Series, href: pd.Series) -> pd.Series:
-    return pd.Series([None if b is None or h is None else urljoin(b, h) for b, h in zip(base, href)])
+@arrow(pa.string())
+def _urljoin(base: pa.Array, href: pa.Array) -> pa.Array:
+    return pa.array([None if b is None or h is None else urljoin(b, h) for b, h in zip(base.to_pylist(), href.to_pylist())], pa.string())
 
 
 def resolve(base: Column, href: Column) -> Column:

@@ -27,33 +27,9 @@ def first_true(df: DataFrame, names: tuple[str, ...]) -> Column:
 
 
 def blocks(text: Column) -> tuple[Column, Column]:
-    """(blocks before splitting, timestamp-aware) of a text.
-
-    With two or more timestamp lines a block is the lines from one of them to the next, and what stands before the first has no
-    time; else each paragraph is a block. One fold over the lines of a document; no shuffle.
-    """
-    line = F.transform(T.lines(text), T.strip)
-    start = F.struct(F.lit(None).cast("string").alias("ts"), F.array().cast("array<string>").alias("held"), F.array().cast(kernels.BLOCK).alias("done"), F.lit(0).alias("times"))
-
-    def flushed(acc: Column) -> Column:
-        body = T.strip(F.array_join(acc["held"], "\n"))
-        return F.when(F.size(acc["held"]) > 0, F.concat(acc["done"], F.array(F.struct(acc["ts"].alias("timestamp"), body.alias("text"))))).otherwise(acc["done"])
-
-    def step(acc: Column, s: Column) -> Column:
-        rest = T.strip(F.regexp_extract(s, T.TIMESTAMP_LINE, 2))
-        timed = F.struct(
-            F.regexp_extract(s, T.TIMESTAMP_LINE, 1).alias("ts"),
-            F.when(rest != "", F.array(rest)).otherwise(F.array().cast("array<string>")).alias("held"),
-            flushed(acc).alias("done"),
-            (acc["times"] + 1).alias("times"),
-        )
-        plain = F.struct(acc["ts"].alias("ts"), F.when((s != "") | (F.size(acc["held"]) > 0), F.concat(acc["held"], F.array(s))).otherwise(acc["held"]).alias("held"), acc["done"].alias("done"), acc["times"].alias("times"))
-        return F.when(T.is_timestamp_line(s), timed).otherwise(plain)
-
-    folded = F.aggregate(line, start, step, lambda acc: F.struct(flushed(acc).alias("done"), acc["times"].alias("times")))
-    aware = folded["times"] >= 2
-    whole = F.transform(T.paragraphs(text), lambda p: F.struct(F.lit(None).cast("string").alias("timestamp"), p.alias("text")))
-    return F.when(aware, folded["done"]).otherwise(whole), aware
+    """(blocks before splitting, timestamp-aware) of a text: see ``kernels.time_blocks``. One Arrow pass, no shuffle."""
+    found = kernels.blocks_udf(text)
+    return found["blocks"], found["aware"]
 
 
 def chunked(docs: DataFrame, config: ChunkConfig = ChunkConfig(), provider: str = "quern", source_type: str = "podcast_transcript", slug: Column | None = None, source_file: Column | None = None) -> DataFrame:
@@ -62,11 +38,9 @@ def chunked(docs: DataFrame, config: ChunkConfig = ChunkConfig(), provider: str
     Text, id, title and address are taken from the first of their usual columns that holds one; a missing id is made from slug, title, address and file.
     """
     own = docs.withColumn("_text", first_text(docs))
-    raw, aware = blocks(F.col("_text"))
-    own = own.withColumn("_raw", raw).withColumn("timestamp_aware", aware)
-    own = own.withColumn("_blocks", kernels.split_blocks(config.max_chars)(F.col("_raw")))
-    own = own.withColumn("_packed", kernels.chunk_blocks(config.target_chars, config.max_chars, config.min_chunk_chars, config.overlap_blocks)(F.col("_blocks")))
-    reason = F.when(F.col("_text") == "", "missing_text").when(F.size("_blocks") == 0, "no_blocks_after_split").when(F.size("_packed") == 0, "no_chunks_after_chunking")
+    own = own.withColumn("_found", kernels.chunks_udf(config.target_chars, config.max_chars, config.min_chunk_chars, config.overlap_blocks)(F.col("_text")))
+    own = own.withColumn("timestamp_aware", F.col("_found.aware"))
+    reason = F.when(F.col("_text") == "", "missing_text").when(F.col("_found.blocks") == 0, "no_blocks_after_split").when(F.size("_found.chunks") == 0, "no_chunks_after_chunking")
     slug = first_true(docs, ("podcast_slug", "show_slug", "series_slug")) if slug is None else slug
     file = F.lit("") if source_file is None else source_file
     title, url = first_true(docs, ("title", "episode_title", "name")), first_true(docs, ("url", "source_url"))
@@ -76,14 +50,14 @@ def chunked(docs: DataFrame, config: ChunkConfig = ChunkConfig(), provider: str
 
     def record(c: Column, i: Column) -> Column:
         return F.struct(
-            F.format_string("%s::chunk_%04d", F.col("_id"), i).alias("chunk_id"), F.col("_id").alias("doc_id"), i.cast("bigint").alias("chunk_index"), F.lit(provider).alias("provider"),
+            chunk_id(F.col("_id"), i).alias("chunk_id"), F.col("_id").alias("doc_id"), i.cast("bigint").alias("chunk_index"), F.lit(provider).alias("provider"),
             F.lit(source_type).alias("source_type"), F.col("_slug").alias("podcast_slug"), F.col("_title").alias("title"), F.col("_url").alias("url"), c["start_timestamp"].alias("start_timestamp"),
             c["end_timestamp"].alias("end_timestamp"), c["char_count"].alias("char_count"), c["block_count"].alias("block_count"), c["text"].alias("text"), F.col("_file").alias("source_file"),
             F.col("timestamp_aware").alias("timestamp_aware"), T.chunk_hash(c["text"]).alias("chunk_content_hash"),
         )
 
-    out = own.withColumn("chunks", F.transform("_packed", record)).withColumn("skip_reason", reason)
-    return out.drop("_text", "_raw", "_blocks", "_packed", "_id", "_title", "_url", "_slug", "_file")
+    out = own.withColumn("chunks", F.transform("_found.chunks", record)).withColumn("skip_reason", reason)
+    return out.drop("_text", "_found", "_id", "_title", "_url", "_slug", "_file")
 
 
 def records(docs: DataFrame) -> DataFrame:
@@ -97,15 +71,26 @@ def repeated_hashes(chunks: DataFrame) -> DataFrame:
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """One row: documents, skips, chunks, and minimum, maximum, mean and median of characters per chunk and chunks per document that has any."""
-    per = docs.agg(
-        F.count("*").alias("documents_seen"), F.count_if(F.col("skip_reason").isNull()).alias("documents_written"), F.count_if(F.col("skip_reason").isNotNull()).alias("documents_skipped"),
-        F.count_if(F.col("skip_reason").isNull() & F.col("timestamp_aware")).alias("timestamp_aware_docs"), F.count_if(F.col("skip_reason").isNull() & ~F.col("timestamp_aware")).alias("non_timestamp_docs"),
-        *_spread(F.when(F.col("skip_reason").isNull(), F.size("chunks")), "chunks_per_doc"),
+    """One row: documents, skips, chunks, and minimum, maximum, mean and median of characters per chunk and chunks per document that has any. One pass over the chunks."""
+    sizes = F.transform("chunks", lambda c: c["char_count"])
+    each = docs.select(F.col("skip_reason").isNull().alias("ok"), "timestamp_aware", F.size("chunks").alias("n"), F.posexplode_outer(sizes).alias("at", "chars")).withColumn("first", F.coalesce("at", F.lit(0)) == 0)
+    first, ok, aware = F.col("first"), F.col("first") & F.col("ok"), F.col("timestamp_aware")
+    return each.agg(
+        F.count_if(first).alias("documents_seen"), F.count_if(ok).alias("documents_written"), F.count_if(first & ~F.col("ok")).alias("documents_skipped"),
+        F.count_if(ok & aware).alias("timestamp_aware_docs"), F.count_if(ok & ~aware).alias("non_timestamp_docs"), *spread(F.when(ok, F.col("n")), "chunks_per_doc"),
+        F.count("chars").alias("chunks_written"), *spread(F.col("chars"), "chunk_chars"),
     )
-    each = records(docs).agg(F.count("*").alias("chunks_written"), *_spread(F.col("char_count"), "chunk_chars"))
-    return per.crossJoin(each)  # two single rows
 
 
-def _spread(x: Column, name: str) -> list[Column]:
+def skip_reasons(docs: DataFrame) -> DataFrame:
+    """(skip_reason, n) of the documents without chunks."""
+    return docs.where("skip_reason is not null").groupBy("skip_reason").agg(F.count("*").alias("n"))
+
+
+def chunk_id(doc_id: Column, index: Column) -> Column:
+    return F.format_string("%s::chunk_%04d", doc_id, index)
+
+
+def spread(x: Column, name: str) -> list[Column]:
+    """Minimum, maximum, mean and median."""
     return [F.min(x).cast("bigint").alias(f"{name}_min"), F.max(x).cast("bigint").alias(f"{name}_max"), F.avg(x).alias(f"{name}_avg"), F.median(x).alias(f"{name}_median")]

@@ -6,11 +6,16 @@ shuffle; only exact duplicates (by hash) and the reports do.
 
 from __future__ import annotations
 
+import functools
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.config import CleanConfig
 from quern.functions import text as T
+from quern.operators import audit
+from quern.storage import stored
 
 # Phrases that speak for an advertisement, a promotion, a podcast's footer or (weakly) a brand, and labels that stand alone.
 AD_START = "this episode is brought to you by|this podcast is brought to you by|support for .* comes from|sponsored by|paid for by|presented by|brought to you by"
@@ -39,18 +44,33 @@ def without_timestamp(line: Column) -> Column:
 
 
 def without_inline(line: Column, pattern: str) -> Column:
-    return T.strip(F.regexp_replace(line, f"(?isU){pattern}", ""))
+    """A stripped line without what an inline pattern matches. Few lines hold the words that every match begins with."""
+    words = re.match(r"\\s\*([A-Za-z ]+)", pattern)[1].strip().lower()
+    return F.when(F.lower(line).contains(words), T.strip(F.regexp_replace(line, f"(?isU){pattern}", ""))).otherwise(line)
 
 
 def _inline_step(pattern: str):
     return lambda line: without_inline(line, pattern)
 
 
+def _anchors(phrases: str) -> list[str]:
+    """For each of the phrases the longest piece of it that stands in every text it matches."""
+    parts = re.split(r"\|(?![^(]*\))", phrases)
+    return sorted({max((p.strip() for p in re.split(r"\.\*|\\d\+|\(.*?\)", part)), key=len) for part in parts})
+
+
+def _speaks(low: Column, phrases: str) -> Column:
+    """Whether a lower-cased line holds one of the phrases as words. Plain searches come first: nearly all lines hold none of the anchors."""
+    some = functools.reduce(lambda a, b: a | b, [low.contains(k) for k in _anchors(phrases)])
+    return F.when(some, low.rlike(rf"\b({phrases})\b")).otherwise(False)
+
+
 def signs(bare: Column) -> Column:
     """What a line without its timestamp shows: a struct of one flag for each rule, so that each pattern is tried once."""
-    rules = [bare.rlike(rf"(?i)\b({phrases})\b").alias(name) for name, _, phrases in RULES]
-    urls = (F.regexp_count(bare, F.lit(r"(?i)https?://\S+")) >= 2).alias("url_heavy")
-    return F.struct((bare == "").alias("empty"), bare.rlike(f"(?i)^({NOISE})$").alias("noise"), *rules, urls, F.length(bare).alias("length"))
+    low = F.lower(bare)
+    rules = [_speaks(low, phrases).alias(name) for name, _, phrases in RULES]
+    urls = F.when(low.contains("http"), F.regexp_count(low, F.lit(r"https?://\S+")) >= 2).otherwise(False).alias("url_heavy")
+    return F.struct((bare == "").alias("empty"), low.rlike(f"^({NOISE})$").alias("noise"), *rules, urls, F.length(bare).alias("length"))
 
 
 def score_of(s: Column) -> Column:
@@ -105,16 +125,18 @@ def cleaned(docs: DataFrame, text: str = "clean_text", config: CleanConfig = Cle
 def decided(docs: DataFrame, order: list[str], config: CleanConfig = CleanConfig()) -> DataFrame:
     """Cleaned documents with ``content_hash_clean`` and ``skip_reason`` (null: written): too short first, then all but the first, in ``order``, of equal texts.
 
-    Of a text that many documents share, the first is found by an aggregate (partial before the shuffle), not by sorting them.
+    What was cleaned is stored once; firsts are found on the stored keys and hashes by an aggregate (partial before the shuffle), and told apart by
+    their keys in ``order``, which no two rows should share: so neither a text that many documents share nor all the short ones meet in one task.
     """
     hashed = docs.withColumn("content_hash_clean", T.sha256(F.col("cleaned_text")))
     short = F.when(F.length("cleaned_text") < config.min_chars, F.lit("too_short_after_cleaning"))
     if not config.dedupe:
         return hashed.withColumn("skip_reason", short)
-    key = F.struct(*order)
-    firsts = hashed.where(short.isNull()).groupBy("content_hash_clean").agg(F.min(key).alias("_first"))
-    joined = hashed.join(firsts.withColumnRenamed("content_hash_clean", "_h"), F.col("content_hash_clean") == F.col("_h"), "left")
-    return joined.withColumn("skip_reason", F.coalesce(short, F.when(key != F.col("_first"), F.lit("duplicate_clean_content_hash")))).drop("_h", "_first")
+    hashed = stored(hashed.withColumn("_short", short), "cleaned")
+    firsts = hashed.where("_short is null").groupBy("content_hash_clean").agg(F.min(F.struct(*order)).alias("_first")).select(*[F.col(f"_first.`{c}`").alias(f"_o{i}") for i, c in enumerate(order)], F.lit(True).alias("_is_first"))
+    same = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(order)])
+    joined = hashed.join(firsts, same, "left").withColumn("skip_reason", F.coalesce("_short", F.when(F.col("_is_first").isNull(), F.lit("duplicate_clean_content_hash"))))
+    return joined.drop("_short", "_is_first", *[f"_o{i}" for i in range(len(order))])
 
 
 def rewritten(docs: DataFrame, text: str = "clean_text") -> DataFrame:
@@ -126,14 +148,29 @@ def rewritten(docs: DataFrame, text: str = "clean_text") -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Report rows: characters before and after; removed_chars here is original minus cleaned."""
+    """Report rows: characters before and after, the hash of the cleaned text; removed_chars here is original minus cleaned."""
     c = F.col("cleaning")
-    return docs.withColumn("removed_chars", F.greatest(F.lit(0), c["original_chars"] - c["cleaned_chars"])).withColumn("original_chars", c["original_chars"]).withColumn("cleaned_chars", c["cleaned_chars"])
+    return docs.withColumn("cleaned_hash", F.col("content_hash_clean")).withColumn("removed_chars", F.greatest(F.lit(0), c["original_chars"] - c["cleaned_chars"])).withColumn("original_chars", c["original_chars"]).withColumn("cleaned_chars", c["cleaned_chars"])
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    """Rows of documents that were written; rows that do not tell are all taken."""
+    return rows.where("skip_reason is null") if "skip_reason" in rows.columns else rows
 
 
 def largest_reductions(rows: DataFrame, order: list[str], n: int = 200) -> DataFrame:
-    """The n rows that lost most characters; ties earliest first."""
-    return rows.orderBy(F.desc("removed_chars"), *order).limit(n)
+    """The n written rows that lost most characters; ties earliest first. Skipped documents are in no ranking."""
+    return _written(rows).orderBy(F.desc("removed_chars"), *order).limit(n)
+
+
+def shortest_written(rows: DataFrame, order: list[str], n: int = 200) -> DataFrame:
+    """The n written rows with the fewest characters left; ties earliest first."""
+    return _written(rows).orderBy("cleaned_chars", *order).limit(n)
+
+
+def written_by(rows: DataFrame, key: str, order: Column) -> DataFrame:
+    """(key, documents_written), most first; equal counts in the order in which the keys first come."""
+    return audit.counts_by(rows.where("skip_reason is null").withColumn("_order", order), key, "_order").withColumnRenamed("n", "documents_written")
 
 
 def reason_histogram(docs: DataFrame) -> DataFrame:
@@ -152,6 +189,11 @@ def summary(docs: DataFrame) -> DataFrame:
     )
 
 
+def rounded(report: DataFrame, digits: int = 1) -> DataFrame:
+    """A report with its means rounded half to even, as reports are written; comparisons should use the unrounded ones."""
+    return report.select(*[F.bround(c, digits).alias(c) if kind == "double" else F.col(c) for c, kind in report.dtypes])
+
+
 def consecutive_duplicates(lines: DataFrame, keys: list[str], order: str, key: str) -> DataFrame:
     """The same drop in row form: lines whose key equals that of the line before in their document."""
     return lines.withColumn("_before", F.lag(key).over(Window.partitionBy(*keys).orderBy(order))).where(F.col(key) == F.col("_before")).drop("_before")

@@ -48,10 +48,16 @@ def messages(query: Column, rounds: Column, language: Column, coverage: Column,
     return F.array(F.struct(F.lit("system").alias("role"), F.lit(system).alias("content")), F.struct(F.lit("user").alias("role"), user.alias("content")))
 
 
+def as_json(message: Column) -> Column:
+    """Messages as JSON text over several lines, non-ASCII kept."""
+    return F.to_json(message, {"pretty": "true"})
+
+
 def prompt_chars(message: Column) -> Column:
     return F.aggregate(message, F.lit(0), lambda n, m: n + F.length(m["content"]))
 
 
+# The labels of the appendix's entries.
 def appendix(sources: Column, excerpt: int = GenerateConfig.appendix_excerpt_chars) -> Column:
     """All sources of a pack in its order, as Markdown made from the pack and not by a model."""
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))

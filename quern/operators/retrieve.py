@@ -81,8 +81,22 @@ def coverage(selected: DataFrame, queries: DataFrame, query: str = "query_id", c
     return both.select(query, status.alias("coverage_status"), usable.alias("usable_source_count"), strong.alias("strong_source_count"))
 
 
+def listing(sources: Column, preview: int = RetrieveConfig.preview_chars) -> Column:
+    """Lines that show a pack's sources: for each its rank and distance, identity, times, number of variants that met it and the beginning of its text."""
+    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    fields = ("chunk_id", "title", "podcast_slug", "url")
+
+    def entry(s: Column) -> Column:
+        return F.concat(
+            F.array(F.format_string("[%d] distance=%.4f", s["rank"], s["distance"])), F.array(*[F.concat(F.lit(f"{c}: "), text(s[c])) for c in fields]),
+            F.array(F.concat(F.lit("timestamp: "), text(s["start_timestamp"]), F.lit(" - "), text(s["end_timestamp"])), F.format_string("matched_queries: %d", F.size(s["matched_queries"])), F.concat(F.lit("preview: "), T.preview(text(s["text"]), preview))),
+        )
+
+    return F.flatten(F.transform(sources, entry))
+
+
 def source_packs(queries: DataFrame, selected: DataFrame, chunks: DataFrame, query: str = "query_id", config: RetrieveConfig = RetrieveConfig()) -> DataFrame:
-    """One nested row for each query: the query, the parameters, its coverage and its sources in order of rank; missing metadata is ''."""
+    """One nested row for each query: all columns of ``queries`` (such as user_query and query_rewrite), the parameters, its coverage and its sources in order of rank; missing metadata is ''."""
     text = lambda c: F.coalesce(c, F.lit("")).alias(c)
     meta = chunks.select("chunk_id", text("doc_id"), text("title"), text("podcast_slug"), text("url"), text("start_timestamp"), text("end_timestamp"), "chunk_index", "char_count", text("text"))
     mine = selected.select(query, "rank", "distance", "chunk_id", "matched_queries").join(meta, "chunk_id")

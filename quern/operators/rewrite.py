@@ -7,10 +7,12 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern import schemas
 from quern.config import RewriteConfig
 from quern.functions import kernels
 from quern.functions import text as T
 
+RESULT = schemas.REWRITE_STRUCT
 ANSWER = "struct<canonical_terms:string,retrieval_queries:string,core_query:string>"
 
 
@@ -53,12 +55,16 @@ def parsed(answers: DataFrame, answer: str = "answer", query: str = "query", pro
         F.col(query).alias("original_query"), terms.alias("canonical_terms"), core.alias("core_query"), variants.alias("retrieval_queries"), F.lit(True).alias("rewrite_used"),
         F.lit(provider).alias("provider"), F.lit(model).alias("model"), F.lit(None).cast("string").alias("fallback_reason"),
     )
+    return raw.withColumn("result", F.when(reason.isNull(), good).otherwise(not_rewritten(F.col(query), reason))).drop("_object", "_fields")
+
+
+def not_rewritten(query: Column, reason: Column) -> Column:
+    """The result for a request that is used as it is, and why."""
     null = F.lit(None).cast("string")
-    back = F.struct(
-        F.col(query).alias("original_query"), F.lit(None).cast("array<string>").alias("canonical_terms"), null.alias("core_query"), F.array(F.col(query)).alias("retrieval_queries"), F.lit(False).alias("rewrite_used"),
+    return F.struct(
+        query.alias("original_query"), F.lit(None).cast("array<string>").alias("canonical_terms"), null.alias("core_query"), F.array(query).alias("retrieval_queries"), F.lit(False).alias("rewrite_used"),
         null.alias("provider"), null.alias("model"), reason.alias("fallback_reason"),
     )
-    return raw.withColumn("result", F.when(reason.isNull(), good).otherwise(back)).drop("_object", "_fields")
 
 
 def _is_list(x: Column) -> Column:

@@ -26,6 +26,18 @@ def listing(pages: DataFrame, order: str, html: str = "html", url: str = "url",
     return _first_of(cards, "url", most)
 
 
+def placed_listing(pages: DataFrame, order: str, html: str = "html", url: str = "url") -> DataFrame:
+    """``listing`` with ``place``, the card's number on its page."""
+    cards = pages.select(F.col(order).alias("_page"), F.posexplode(H.episode_cards_udf(F.col(html), F.col(url))).alias("_at", "card")).select("_page", "_at", F.col("_at").alias("place"), "card.*")
+    return _first_of(cards, "url", None)
+
+
+def first_per(links: DataFrame, keys: list[str], order: list[str], most: int) -> DataFrame:
+    """The first ``most`` links of each group. A bounded rank: Spark keeps no more than ``most`` rows of a group before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return links.withColumn("_rank", rank).where(F.col("_rank") <= most).drop("_rank")
+
+
 def _first_of(cards: DataFrame, key: str, most: int | None) -> DataFrame:
     others = [c for c in cards.columns if c != key]
     first = cards.groupBy(key).agg(F.min_by(F.struct(*others), F.struct("_page", "_at")).alias("_c")).select(key, "_c.*")

@@ -19,4 +19,5 @@ CHUNK = (
     "end_timestamp string, char_count bigint, block_count bigint, text string, source_file string, timestamp_aware boolean, chunk_content_hash string"
 )
 REWRITE = "original_query string, canonical_terms array<string>, core_query string, retrieval_queries array<string>, rewrite_used boolean, provider string, model string, fallback_reason string"
-CACHE = f"cache_key string, result struct<{REWRITE.replace(' array', ':array').replace(' string', ':string').replace(' boolean', ':boolean')}>"
+REWRITE_STRUCT = "struct<" + REWRITE.replace(" array", ":array").replace(" string", ":string").replace(" boolean", ":boolean").replace(", ", ",") + ">"
+CACHE = f"cache_key string, result {REWRITE_STRUCT}"

@@ -29,6 +29,14 @@ def test_pack():
     assert pack_blocks([], 10, 12, 6, 0) == []
 
 
+def test_times_are_those_of_the_first_and_the_last_block():
+    timed = [{"timestamp": None, "text": "intro"}, {"timestamp": "00:00:01", "text": "a" * 10}, {"timestamp": None, "text": "tail"}]
+    (one,) = pack_blocks(timed, 100, 200, 5, 0)
+    assert one["start_timestamp"] is None and one["end_timestamp"] is None
+    first, second = pack_blocks(timed[:2], 5, 12, 1, 0)
+    assert first["start_timestamp"] is None and second["start_timestamp"] == second["end_timestamp"] == "00:00:01"
+
+
 @given(st.lists(st.integers(1, 40), max_size=20), st.integers(1, 3))
 @settings(max_examples=100, deadline=None)
 def test_pack_bounds(lengths, overlap):

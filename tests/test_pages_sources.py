@@ -58,6 +58,7 @@ def test_scans(spark, tmp_path):
     except Exception as e:
         assert "broken" in str(e) or "MALFORMED" in str(e).upper()
     assert [(r.line_no, r.url) for r in jsonl.numbered(spark, path, "url string").orderBy("line_no").collect()] == [(1, "1"), (3, None), (4, "2")]
+    assert [r.line_no for r in jsonl.numbered(spark, path, "url string").where("broken").collect()] == [3]
     assert {r.podcast_slug for r in jsonl.partitioned(spark, str(tmp_path), "url string").collect()} == {"a"}
 
 
@@ -67,10 +68,50 @@ def test_sinks(spark, tmp_path):
     assert '"v":null' in "".join(p.read_text() for p in (tmp_path / "j").glob("*.json"))
     assert sinks.append_new(df, str(tmp_path / "t"), "k").count() == 2
     assert sinks.append_new(spark.createDataFrame([("b", "x"), ("c", "y"), ("c", "y")], "k string, v string"), str(tmp_path / "t"), "k").count() == 3
+    ordered = spark.createDataFrame([("d", "second", 2), ("d", "first", 1), ("a", "late", 0)], "k string, v string, n int").drop("n").withColumn("n", F.when(F.col("v") == "first", 1).otherwise(2))
+    sinks.append_new(ordered.select("k", "v"), str(tmp_path / "t"), "k", [F.col("v")])
+    assert {(r.k, r.v) for r in spark.read.parquet(str(tmp_path / "t")).where("k in ('a', 'd')").collect()} == {("a", None), ("d", "first")}
     runs = spark.createDataFrame([(1, "a"), (2, "b")], "run_ts int, x string")
     assert [r.x for r in sinks.latest(runs).collect()] == ["b"]
 
 
+def test_partitions_that_lost_all_rows_are_emptied(spark, tmp_path):
+    at, rows = str(tmp_path / "p"), spark.createDataFrame([("a b/c", 1), ("b", 2), ("c", 3)], "podcast_slug string, v int")
+    sinks.write_partitions(rows, at)
+    sinks.write_partitions(rows.where("v = 2").withColumn("v", F.lit(9)), at, expected=rows.where("v < 3"))
+    read = lambda: {(r.podcast_slug, r.v) for r in spark.read.schema("v int, podcast_slug string").json(at).collect()}
+    assert read() == {("b", 9), ("c", 3)}
+    sinks.write_partitions(rows.where("v > 9"), at, expected=rows)
+    assert read() == set() and len([p for p in (tmp_path / "p").iterdir() if p.is_dir()]) == 3
+
+
+def test_texts_and_tables(spark, tmp_path):
+    rows = spark.createDataFrame([("x", "é", None), ("y", "b", "{}")], "name string, md string, meta_json string")
+    assert sinks.write_texts(rows, str(tmp_path / "o"), "name", "md", "meta_json") == 3
+    assert (tmp_path / "o" / "x.md").read_text() == "é" and (tmp_path / "o" / "y.meta.json").read_text() == "{}" and not (tmp_path / "o" / "x.meta.json").exists()
+    assert sinks.open_table(spark, str(tmp_path / "v"), "id string")[1] == 0 and sinks.open_table(spark, str(tmp_path / "v"), "id string")[1] == 0
+    try:
+        sinks.open_table(spark, str(tmp_path / "v"), "id string", metric="l2")
+        raise AssertionError("another metric must fail")
+    except ValueError:
+        pass
+
+
+def test_line_numbers_over_several_splits(spark, tmp_path):
+    (tmp_path / "f.jsonl").write_text("".join(f'{{"n": {i}}}\n' + "\n" * (i % 3) for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = {r.n: r.line_no for r in jsonl.numbered(spark, str(tmp_path / "f.jsonl"), "n int").collect()}
+        assert spark.read.text(str(tmp_path / "f.jsonl")).rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want, line = {}, 1
+    for i in range(3000):
+        want[i], line = line, line + 1 + i % 3
+    assert got == want
+
+
 def test_stream(spark, tmp_path):
     (tmp_path / "in" / "a").mkdir(parents=True)
     line = lambda u, t: json.dumps({"url": u, "clean_text": t}) + "\n"
@@ -79,7 +120,7 @@ def test_stream(spark, tmp_path):
     run()
     (tmp_path / "in/a/2.json").write_text(line("u1", "w" * 20) + line("u3", "v" * 20))
     run()
-    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["u1", "u3"]
+    assert {r.url: r.clean_text[0] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"u1": "x", "u3": "v"}  # the first of the file's rows
 
 
 def test_adapters(spark):
@@ -110,7 +151,30 @@ def test_acquire(spark):
     existing = spark.createDataFrame([("https://h/e/old",), (None,)], "url string")
     docs, failed = acquire.new_documents(spark.createDataFrame(series), existing, fetch, "h", "site", "2024-01-01T00:00:00+00:00")
     assert [(d.url, d.podcast_title, d.metadata.podcast_slug) for d in docs.collect()] == [("https://h/e/1", "A show", "a")]
-    assert [f.url for f in failed.collect()] == ["https://h/e/gone"]
+    assert {(r.slug, r.written, r.skipped, r.failed) for r in failed.collect()} == {("a", 1, 1, 1)}
+    few, _ = acquire.new_documents(spark.createDataFrame(series), existing, fetch, "h", "site", "2024-01-01T00:00:00+00:00", max_episodes=1)
+    assert [d.url for d in few.collect()] == ["https://h/e/1"]
+
+
+def test_every_page_is_requested_once_and_kept(spark, tmp_path):
+    from quern.plans import acquire
+
+    log = str(tmp_path / "requests")
+
+    class Counting:  # within the test, so that it travels to the workers by value
+        def fetch(self, url):
+            with open(log, "a") as f:
+                f.write(url + "\n")
+            return {"https://h/shows/a": LISTING + "<div class='podcast-page-info'>Page 1 of 2</div>", "https://h/shows/a?page=2": LISTING, "https://h/e/1": EPISODE}[url]
+
+    series = spark.createDataFrame([("https://h/shows/a", "a", "A")], "url string, slug string, title string")
+    docs, summary = acquire.new_documents(series, spark.createDataFrame([], "url string"), Counting, "h", "site", "now", raw=str(tmp_path / "raw"))
+    assert docs.count() == 1 and docs.count() == 1 and summary.first().written == 1
+    assert sorted(open(log).read().split()) == ["https://h/e/1", "https://h/shows/a", "https://h/shows/a?page=2"]
+    kept = {r.path for r in spark.read.parquet(str(tmp_path / "raw")).collect()}
+    assert kept == {"a/list_pages/page_001.html", "a/list_pages/page_002.html", "a/episode_pages/1.html"}
+    again = acquire.new_documents(series, spark.createDataFrame([], "url string"), lambda: adapters.StoredFetcher(str(tmp_path / "raw")), "h", "site", "now")[0]
+    assert [d.url for d in again.collect()] == ["https://h/e/1"]
 
 
 def test_page_numbers(spark):
