@@ -5,57 +5,15 @@ Every function here is a DataFrame or Column transformation; nothing collects ro
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from urllib.parse import quote
 
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` where the session names one.
-
-    Only where it is unset (tests, local mode) is a temporary folder chosen and set.
-    """
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quern-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; it is removed when the session's driver ends."""
-    path = f"{shared_dir(spark)}/quern/{name}-{uuid.uuid4().hex[:12]}"
-    _written.append((spark, path))
-    return path
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that ``new_path`` named."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-@atexit.register
-def _clean() -> None:
-    for spark, path in _written:
-        try:
-            remove(spark, path)
-        except Exception:  # the session is gone already
-            return
+from quern.storage import new_path, remove, shared_dir, stored
 
+__all__ = ["name_key", "new_path", "opened", "page_key", "qualified", "remove", "shared_dir", "stored", "with_podcast", "words"]
 
 def qualified(spark: SparkSession, path: str) -> str:
     """A path with its file system's scheme, so that kernels open the same file system as Spark does."""
@@ -70,13 +28,6 @@ def opened(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: cuts the lineage, survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def words(text: Column) -> Column:
     """The longest runs of letters of any script, lower-cased. Null for null."""
     return F.transform(F.regexp_extract_all(text, F.lit(r"(\p{L}+)"), F.lit(1)), F.lower)
