@@ -1,19 +1,24 @@
 """Problem 5: the main body of a page's text, without the menus, notices and side lists around it.
 
-Method: tree scoring. A text is a tree: the document holds segments (a line with a time and the lines below
-it up to the next time), a segment holds lines. Every line gets points for its length and commas and for ending as
-a sentence, and passes them to its segment in full and to the document by half; every node's points are discounted
-by its link density. The segment with the most points is the best container; it and those of its siblings that
-score well, or are prose or the transcript's own marks with a low link density, are kept, and within them the lines
-that do so. Flattened text has no link tags, so a line's link density is estimated: addresses, menu and
-breadcrumb separators, durations, and bare phrases (neither sentence, nor label, nor sound note, nor part of a
-sentence that goes on in the next line) are link text, and so are the words of a page's notices.
+Method: tree scoring. Lines are the paragraphs of a tree: neighbouring lines of like link density form a container, the containers
+of a text its body. A line's points, for its length and its commas, go to its container in full and to the body by half, and every node's points are
+discounted by its link density. The container with the most points is the best; it and its siblings are kept that score well for their
+size or are prose by their density, and a kept container keeps its lines but those that are clearly links.
+
+Flattened text has no link tags, so a line's link density is estimated, and no list of phrases is used for it. A transcript tells
+what belongs to it: its lines carry times, while nearly all that the page adds carries none. So the words of lines without times in
+transcripts that have times tell how page text reads, wherever else such words stand. Counts of words and pairs of words with and without times, and
+what a line looks like (its end, separators, addresses, length, capitals), go into a logistic regression that is trained on that label
+and corrected for its errors: the shares of spoken lines without, and of page lines with a time. Its estimate, with the line's own time where the text has times, is the density.
+
+The estimate is fitted on ``sample`` texts by hash of their ids (a bounded sample, labelled by their times); every text is judged whole. A collection without times
+gives no such labels: then only how lines look counts.
 """
 
 from __future__ import annotations
 
-import functools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,78 +28,149 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import words
 
-# Phrases that pages use around a text and speakers do not.
-NOTICES = (
-    r"\bcookie (?:policy|notice|settings|preferences)\b", r"\b(?:use|uses|using|accept|store|set|verwenden|utilisons|usamos|utilizzano|utiliza\w*|używa\w*) (?:\w+ )?cookies\b", r"\bkleine dateien\b", r"^wir verwenden\b", r"^unsere partner\b", r"^diese seite\b", r"\bnous utilisons\b", r"\busamos\b", r"\bprivacy (?:notice|policy)\b", r"\bterms of (?:use|service)\b",
-    r"\bhouse rules\b", r"\ball rights reserved\b", r"^\W*©", r"^\W*\(c\) \d{4}", r"\bmay be copied\b", r"\bregistered in\b", r"^views in\b.*\btranscript\b", r"\bare those of the speakers\b", r"^transcript no\b", r"\btranscript\b.*\bprepared by\b",
-    r"^corrections to\b.*\btranscript\b", r"\bletterbox of\b", r"^share this\b", r"\bthis page with\b", r"^(?:get|join|receive|subscribe to)\b.*\b(?:newsletter|mailing|digest|list)\b", r"\bone click to leave\b", r"\bcancel any time\b",
-    r"\bno spam\b", r"\bfree for members\b", r"^rated \d", r"^tags?\s*:", r"^categories\s*:", r"^filed under\b", r"^posted (?:by|in|on)\b", r"^\d+ (?:comments?|replies|likes|views)\b", r"\b\d+ (?:minutes|hours|days|weeks|months|years) ago\b", r"^home\s*[/›»>]",
-    r"^advertisement\b", r"^audio transcription by\b", r"^listeners also\b",
-)
-#: Words without which no notice stands; a line with none of them needs no search.
-_KEYS = frozenset(
-    "cookie cookies dateien verwenden partner diese nous utilisons usamos privacy terms house rights © (c) copied registered views speakers transcript corrections letterbox "
-    "share page newsletter mailing digest list leave cancel spam free rated tag tags tag: tags: categories categories: filed posted comment comments reply replies like likes ago "
-    "minutes hours days weeks months years home advertisement audio listeners".split()
-)
+SAMPLE = 4_000
+#: A text has times if this share of its lines has one.
+TIMED = 0.5
+#: Least count of a word or pair, and the weight of the mean in its share.
+SEEN, SMOOTH = 3, 2.0
+#: Densities from which a line of a kept container is dropped, up to which a line of another one is kept, and the share of the best container's points a line that a good sibling has.
+LINKED, PROSE, SIBLING = 0.5, 0.2, 0.2
+#: Points that a container's density has in that of each of its lines.
+SHARED = 1.0
+#: Neighbouring lines whose densities differ by more are of two containers.
+STEP = 0.6
+
 _L = r"[^\W\d_]"
-_NOTICE = re.compile("|".join(NOTICES))
 _TIME = re.compile(r"^\s*[\[(<]?\s*\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d+)?\s*(?:-->\s*\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d+)?\s*)?[\])>]?(?!\s*/)(?=\s|$|[-–:])\s*[-–]?\s*")
 _URL = re.compile(r"(?:https?://|www\.)\S+|\b[\w-]+\.(?:com|org|net|example)(?:/\S*)?")
 _MENU = re.compile(r"\S\s*[|•·›»‹«]\s*\S|^\s*[‹«›»|•·]|[‹«›»|•·]\s*$|\S\s{2,}\S.*\S\s{2,}\S|\s/\s")
 _DURATION = re.compile(r"(?:\(\d{1,3}:\d{2}(?::\d{2})?\)|\b\d{1,3} min)\s*$|^\d{1,2}:\d{2}\s*/\s*\d")
-_TITLE = re.compile(rf"(?i)^(?:who {_L}+ the (?:{_L}|-)+\?|episode \d+|(?:{_L}|-)+, part \d+)\W*$")
 _MARKS = re.compile(r"^\W*$|^[\s>*-]*(?:[\[(<{*♪].{0,60}[\])>}*♪][\s:：*]*)+$")
 _LABEL = re.compile(rf"^[\s>*-]*[\[(<*]{{0,2}}{_L}[\w.'’-]*(?:,?\s+{_L}[\w.'’-]*){{0,3}}(?:\s*\((?:{_L}|-)+\))?[\])>]?\s?(?:[:：]|\s[-–—](?=\s|$)|(?<=[\])>]))\*{{0,2}}")
-_LISTED = re.compile(r"(?i)\W*(?:tags|categories|topics)\W")
 _WORD = re.compile(rf"{_L}+")
-_SENTENCE = re.compile(r"[a-zà-ÿ]{2}[.!?] ")
-PROSE_WORDS = 8
 
 
 def ends(line: str) -> bool:
     """Whether a line ends as a sentence or a label does."""
-    return line.rstrip(" \t\r\n\u00a0\"'”’)]*")[-1:] in (".", "!", "?", "…", "。", "！", "？", "—", "–", ":", "：", "-")
-
-
-@functools.lru_cache(maxsize=50_000)
-def _density(line: str) -> float | None:
-    """Estimated share of a line's words (without its time) that are link text; None where the next line decides."""
-    flat = " ".join(line.split())
-    n = len(_WORD.findall(flat))
-    if n == 0:
-        return 1.0 if any(c.isdigit() for c in flat) and not _MARKS.match(flat) else 0.0
-    low = flat.lower()
-    if not _KEYS.isdisjoint(low.split()) and _NOTICE.search(low) or flat[0] == "©":
-        return 1.0
-    if ("/" in flat or flat[-1] == ")" or low.endswith("min")) and _DURATION.search(flat) or n <= 6 and _TITLE.match(flat):
-        return 1.0
-    if ("://" in flat or "www." in flat or ".example" in flat or ".com" in flat or ".org" in flat or ".net" in flat) and (url := sum(len(_WORD.findall(m)) for m in _URL.findall(flat))):
-        return url / n
-    if _MARKS.match(flat):
-        return 0.0
-    if _LABEL.match(flat) and not _LISTED.match(flat):
-        return 0.0  # a speaker is named: what follows is said
-    bare = line.strip()
-    menu = (any(c in bare for c in "|•·›»‹«/") or "  " in bare or "\t" in bare) and _MENU.search(bare) is not None
-    if ends(flat) and not menu:
-        return 0.0
-    if menu and not (n >= PROSE_WORDS and "," in flat):
-        return 1.0
-    if n >= PROSE_WORDS and ("," in flat or _SENTENCE.search(flat)) or n > PROSE_WORDS + 2:
-        return 0.0  # long, or with commas, or a sentence ends within it
-    return None
-
-
-def link_density(line: str, following: str) -> float:
-    """Estimated share of a line's words (without its time) that are link text; ``following`` is the next line that is not blank."""
-    found = _density(line)
-    if found is None:  # a bare phrase: link text, unless its sentence goes on in the next line, which is none
-        found = _WORD.findall(line)
-        broken = len(found) >= 4 and 2 * sum(w[0].islower() for w in found) >= len(found)  # no list of names
-        goes_on = broken and following.lstrip()[:1].islower() and not _TIME.match(following) and _density(following) == 0.0
-        return 0.0 if goes_on else 1.0
-    return found
+    return line.rstrip(" \t\r\n \"'”’)]*")[-1:] in (".", "!", "?", "…", "。", "！", "？", "—", "–", ":", "：", "-")
+
+
+def grams(found: list[str]) -> set:
+    """The words and pairs of words of a line, its ends included."""
+    return {*found, *zip(["", *found], [*found, ""])}
+
+
+def looks(line: str, found: list[str]) -> list[float]:
+    """What a line looks like, without regard to its words."""
+    n = len(found)
+    marks = _MARKS.match(line) is not None
+    urls = sum(len(_WORD.findall(m)) for m in _URL.findall(line)) if "://" in line or "www." in line or "." in line else 0
+    stops, label = ends(line), not marks and _LABEL.match(line) is not None
+    bare = n > 0 and not (stops or label or marks) and n <= 8
+    capitals = sum(w[0].isupper() for w in _WORD.findall(line)) / n if n else 0.0
+    return [
+        float(stops), float(_MENU.search(line) is not None), min(urls / n, 1.0) if n else 0.0, float(_DURATION.search(line) is not None), float(label), np.log1p(n), float(marks and n > 0),
+        float(bare), float(n == 0 and any(c.isdigit() for c in line)), (line.count(",") + line.count("，") + line.count("、")) / (n + 1), capitals, float(bare) * np.log1p(n), float(not stops and not label and not marks),
+    ]
+
+
+LOOKS = 13
+
+
+class Lines:
+    """What tells page lines from spoken ones: shares of words and pairs, weights, and how often spoken lines lack, and page lines have a time."""
+
+    def __init__(self, shares: dict, mean: float, weights: np.ndarray, lacks: float, untimed: float):
+        self.shares, self.mean, self.weights, self.lacks, self.untimed = shares, mean, weights, lacks, untimed
+        self.memo: dict[str, float] = {}
+
+    @staticmethod
+    def plain() -> "Lines":
+        """What is known without any labels: how menus, addresses and bare phrases look."""
+        weights = np.zeros(1 + 4 + LOOKS)
+        weights[0] = -1.0
+        weights[5:] = -1.5, 3.0, 4.0, 2.5, -2.0, -0.4, -2.0, 2.0, 3.0, -1.0, 1.0, 0.0, 0.0
+        return Lines({}, 0.2, weights, 0.0, 1.0)
+
+    @staticmethod
+    def features(line: str, shares: dict, mean: float, own: tuple[bool, dict] | None = None) -> list[float]:
+        """Of a line: the mean, highest and lowest shares of its words and pairs, whether any is known, and its looks. ``own``: its label and all counts, which then do not count the line itself."""
+        found = [w.lower() for w in _WORD.findall(line)]
+        if own is None:
+            known = [shares[g] for g in grams(found) if g in shares]
+        else:
+            label, counts = own
+            known = [(u - label + SMOOTH * mean) / (u + t - 1 + SMOOTH) for u, t in (counts[g] for g in grams(found)) if u + t > SEEN]
+        if known:
+            known.sort()
+            word = [sum(known) / len(known), sum(known[-3:]) / len(known[-3:]), sum(known[:3]) / len(known[:3]), 1.0]
+        else:
+            word = [mean, mean, mean, 0.0]
+        return [1.0, *word, *looks(line, found)]
+
+    @staticmethod
+    def fit(texts: list[str]) -> "Lines":
+        lines: list[tuple[str, bool]] = []
+        for text in texts:
+            some = split(text)[1:]
+            if len(some[0]) >= 5 and np.mean(some[1]) >= TIMED:
+                lines += zip(some[0], (not t for t in some[1]))
+        labels = np.array([u for _, u in lines], float)
+        if len(lines) < 200 or not 0.01 < labels.mean() < 0.9:
+            return Lines.plain()
+        without, with_ = Counter(), Counter()
+        for line, label in lines:
+            (without if label else with_).update(grams([w.lower() for w in _WORD.findall(line)]))
+        mean = float(labels.mean())
+        counts = {g: (without[g], with_[g]) for g in without.keys() | with_.keys()}
+        x = np.array([Lines.features(line, {}, mean, (bool(label), counts)) for line, label in lines])
+        weights = _logistic(x, labels)
+        q = 1 / (1 + np.exp(-x @ weights))
+        order = np.argsort(q)
+        lacks, untimed = labels[order[: len(q) // 2]].mean(), labels[order[-max(len(q) // 20, 1) :]].mean()
+        shares = {g: (u + SMOOTH * mean) / (u + t + SMOOTH) for g, (u, t) in counts.items() if u + t >= SEEN}
+        return Lines(shares, mean, weights, float(np.clip(lacks, 0.001, 0.4)), float(np.clip(untimed, 0.6, 0.999)))
+
+    def page(self, line: str) -> float:
+        """The chance, by its words and looks, that a line (without its time) is of the page."""
+        if line not in self.memo:
+            if len(self.memo) > 50_000:
+                self.memo.clear()
+            q = 1 / (1 + np.exp(-float(np.dot(self.features(line, self.shares, self.mean), self.weights))))
+            share = min(max((q - self.lacks) / (self.untimed - self.lacks), 0.002), 0.998)
+            # Words that nearly always, or nearly never, lack a time are surer signs than one line's chance.
+            self.memo[line] = share**2 / (share**2 + (1 - share) ** 2)
+        return self.memo[line]
+
+    def densities(self, bare: list[str], timed: list[bool]) -> np.ndarray:
+        """The estimated link density of every line of a text."""
+        p = np.array([self.page(b) for b in bare])
+        if np.mean(timed) < TIMED or len(bare) < 5 or not self.shares:
+            return p
+        odds = p / (1 - p) * np.where(timed, (1 - self.untimed) / (1 - self.lacks), self.untimed / self.lacks)
+        return odds / (1 + odds)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 12, ridge: float = 1.0) -> np.ndarray:
+    """Weights of a logistic regression, by Newton steps."""
+    w = np.zeros(x.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        gradient = x.T @ (y - p) - ridge * w
+        w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), gradient)
+    return w
+
+
+def split(text: str) -> tuple[list[int], list[str], list[bool]]:
+    """(places, lines without their times, whether they have one) of the lines that are not blank."""
+    full, bare, timed = [], [], []
+    for i, line in enumerate(text.split("\n")):
+        if line.strip():
+            m = _TIME.match(line)
+            full.append(i)
+            timed.append(m is not None)
+            bare.append(" ".join((line[m.end() :] if m else line).split(" ")).strip())
+    return full, bare, timed
 
 
 def points(line: str) -> float:
@@ -102,44 +178,52 @@ def points(line: str) -> float:
     return 1 + line.count(",") + line.count("，") + line.count("、") + min(len(line) / 100, 3) + (1 if ends(line) else 0)
 
 
-def outside(text: str) -> list[int]:
+def kept_lines(bare: list[str], density: np.ndarray) -> np.ndarray:
+    """Which lines the tree keeps."""
+    size = np.array([max(len(b), 1) for b in bare], float)
+    point = np.array([points(b) for b in bare])
+    # Neighbouring lines of one shape are a container: sentences and what labels them, or phrases without an end as lists and menus have them.
+    phrase = np.array([not (ends(b) or _MARKS.match(b) or _LABEL.match(b)) for b in bare])
+    container = np.concatenate([[0], np.cumsum((phrase[1:] != phrase[:-1]) | (np.abs(np.diff(density)) > STEP) & ~(phrase[1:] & phrase[:-1]))])
+    m = container[-1] + 1
+    lines = np.bincount(container, minlength=m)
+    links = np.bincount(container, point * density, m) / np.bincount(container, point, m)
+    score = np.bincount(container, point * (1 - density), m) * (1 - links)
+    # The body gets half of all points, discounted by its own density: what a line of it is worth.
+    body = 0.5 * (point * (1 - density)).sum() * (1 - (size * density).sum() / size.sum()) / len(bare)
+    best = np.argmax(score)
+    good = (np.arange(m) == best) | (score / lines >= SIBLING * max(score[best] / lines[best], body)) & (links < LINKED) | (links < PROSE)
+    # A line of few points shares its container's density.
+    alone = point / (point + SHARED * (lines[container] > 1))
+    joint = alone * density + (1 - alone) * links[container]
+    return np.where(good[container], joint < LINKED, joint < PROSE)
+
+
+def outside(text: str, model: Lines) -> list[int]:
     """Numbers (from 1) of the lines of a text that are not of its main body; blank lines are of neither kind."""
-    lines = text.split("\n")
-    full = [i for i, line in enumerate(lines) if line.strip()]
+    full, bare, timed = split(text)
     if not full:
         return []
-    bare, timed = [], []
-    for i in full:
-        m = _TIME.match(lines[i])
-        timed.append(m is not None)
-        bare.append(lines[i][m.end() :] if m else lines[i])
-    following = [*(lines[i] for i in full[1:]), ""]
-    density = np.array([link_density(b, f) for b, f in zip(bare, following)])
-    size = np.array([max(len(b), 1) for b in bare], float)
-    point = np.array([points(b) for b in bare])
-    segment = np.cumsum(timed)  # lines before the first time are a segment of their own
-    m = segment[-1] + 1
-    weight = np.bincount(segment, size, m)
-    links = np.bincount(segment, size * density, m) / np.maximum(weight, 1)
-    score = np.bincount(segment, point * (1 - density), m) * (1 - links)
-    good = (score >= 0.2 * score.max()) | (links < 0.5)
-    own = (point * (1 - density) >= 0.5) & (density < 0.5)
-    # A segment with too many links may still hold lines without any, and a kept one lines of links.
-    kept = own & (good[segment] | (density < 0.25))
-    blank = np.array([not b.strip() for b in bare])
-    return [full[k] + 1 for k in np.flatnonzero(~kept & ~blank)]
+    kept = kept_lines(bare, model.densities(bare, timed))
+    return [full[k] + 1 for k in np.flatnonzero(~kept) if bare[k]]
+
 
+def _kernel(model: Lines):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([outside(t, model) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "lines"])
 
-def _kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([outside(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "lines"])
+    return run
 
 
-def page_lines(docs: DataFrame, ident: str, text: str, least_words: int = 40) -> DataFrame:
+def page_lines(docs: DataFrame, ident: str, text: str, least_words: int = 40, sample: int = SAMPLE) -> DataFrame:
     r"""(ident, line_no): the lines of each text that belong to the page around its main body.
 
     Lines are the pieces between ``\n``, numbered from 1. Null and empty texts and those of under ``least_words`` words
-    have none. Each text is judged by itself: one pass, no shuffle. A repeated row comes out as often as it goes in.
+    have none. Each text is judged by itself, with a model fitted on ``sample`` texts: one pass, no shuffle. A repeated row comes out as often as it goes in.
     """
-    long = docs.where(F.size(words(F.col(text))) >= least_words).select(F.col(ident).cast("bigint").alias("id"), F.col(text).alias("text"))
-    return long.mapInArrow(_kernel, "id bigint, lines array<bigint>").select(F.col("id").alias(ident), F.explode("lines").alias("line_no"))
+    rows = docs.select(F.col(ident).cast("bigint").alias("id"), F.col(text).alias("text"))
+    some = rows.where(F.length("text").between(200, 50_000)).orderBy(F.xxhash64("id"), "text").limit(sample).collect()
+    model = Lines.fit([r.text for r in some])
+    long = rows.where(F.size(words(F.col("text"))) >= least_words)
+    return long.mapInArrow(_kernel(model), "id bigint, lines array<bigint>").select(F.col("id").alias(ident), F.explode("lines").alias("line_no"))
