@@ -1,3 +1,5 @@
+import functools
+import os
 import random
 from collections import Counter
 
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from quern.llm import mainbody, signature, sitelines, spam, turns
 from quern.llm.signature import tree_join
 
+DOCUMENTS = "/root/testdata/sf0.1/documents.parquet"
 PEOPLE = [(1, "p", "Edda Calbry", "host"), (2, "p", "Greta Zelhurst", "producer"), (3, "p", "Linnea Holstedt", "guest"), (4, "p", "Orla Sanmoor", "guest")]
 
 
@@ -60,11 +63,32 @@ def test_long_document_in_blocks_equals_one_pass(spark):
     assert [(g[2], g[3]) for g in said(spark, rows, text=False)] == want
 
 
-def test_viterbi_prefers_the_best_path():
+CREW = turns.People([(i, name, role) for i, _, name, role in PEOPLE])
+AMBIGUOUS = [
+    ("(Edda) I laughed. (laughs) Then [crosstalk] it was over.", [(None, ""), (1, "I laughed. Then it was over.")]),
+    ("Two words: the harbour. Then I met Greta - and Edda: both were late.", [(None, "Two words: the harbour. Then I met Greta - and Edda: both were late.")]),
+    ("Greta, if you are listening: come home.", [(None, "Greta, if you are listening: come home.")]),
+    ("Um, host - er, hello. *applause* >> O. Sanmoor: thanks", [(None, ""), (1, "hello."), (4, "thanks")]),
+    ("**Calbry, Edda (host):** It was the host: nobody else.", [(None, ""), (1, "It was the host: nobody else.")]),
+]
+
+
+def test_ambiguous_marks_are_decided_by_the_path():
     model = turns.Model.prior()
-    (path,) = model.decode(["LPWWFPWB"])
-    assert [turns.STATES[s] for s in path][::2] == ["speaker", "speech", "filler", "speech"]
-    assert [len(p) for p in model.decode(["", "W", "WWWWW"])] == [0, 1, 5]
+    got = turns.parts_of([t for t, _ in AMBIGUOUS], [CREW] * len(AMBIGUOUS), model)
+    assert [[(w, " ".join(s.split())) for w, s in parts] for parts in got] == [want for _, want in AMBIGUOUS]
+
+
+def test_without_transitions_or_names_the_tags_are_others():
+    """The states' order and the weak evidence of names both decide: taking either away changes the tags."""
+    model, seen = turns.Model.prior(), [turns.observe(t, CREW) for t, _ in AMBIGUOUS]
+    paths = model.decode([s for _, s in seen])
+    alone = [model.emit[:, s].argmax(0) for _, s in seen]
+    tag = lambda path: [turns.TAG_OF[k] for k in path]
+    assert any(tag(p) != tag(a) for p, a in zip(paths, alone))
+    nobody = [turns.observe(t, turns.People([])) for t, _ in AMBIGUOUS]
+    assert any(tag(p) != tag(q) for p, q in zip(paths, model.decode([s for _, s in nobody])))
+    assert [len(p) for p in model.decode([np.zeros(0, np.int64), seen[0][1][:1], seen[0][1][:5]])] == [0, 1, 5]
 
 
 def words_of(t):
@@ -161,9 +185,40 @@ def test_chunks_are_found_across_line_breaks(spark):
     rows = [(i, "s", own(i) + " " + notice.replace(" ", "\n" if i % 2 else " ") + " " + own(i + 50)) for i in range(8)] + [(9, "s", None), (10, None, notice)]
     out = {r.r: r for r in sitelines.cut_chunks(spark.createDataFrame(rows, "r bigint, p string, t string"), "r", "p", "t").collect()}
     assert all(len(set(notice.split()) & set(out[i].t.split())) < 25 and out[i].cut >= 2 for i in range(8))
+    left = sum(len(set(notice.split()) & set(out[i].t.split())) for i in range(8)) / (8 * 60)
+    assert left <= 0.3  # of 60 words, those of the chunks at both ends stay
     assert all(len(set(own(i).split()) - set(out[i].t.split())) == 0 for i in range(8)) and out[9].t is None and out[10].t == notice
 
 
+def test_chunks_count_documents_not_rows(spark):
+    """A chunk in two documents, one of them in six rows, is in two documents."""
+    body = " ".join(f"word{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}" for i in range(60))
+    rows = [(1, "s", body)] * 6 + [(2, "s", body), (3, "s", "something else entirely, and nothing more than that")]
+    docs = spark.createDataFrame(rows, "r bigint, p string, t string")
+    assert {r.cut for r in sitelines.cut_chunks(docs, "r", "p", "t").collect()} == {0}
+    assert sitelines.repeated_lines(docs, "r", "p", "t").collect() == []
+    assert {r.r for r in sitelines.cut_chunks(docs, "r", "p", "t", least_docs=2).where("cut > 0").collect()} == {1, 2}
+
+
+@pytest.mark.parametrize("mean", [1, 2, 4, 50])
+def test_lines_come_through_chunks_without_loss(spark, monkeypatch, mean):
+    """Whatever the chunks' size, and so however many lines go straight to the exact count, the lines found are those that return."""
+    monkeypatch.setattr(sitelines._document_chunks, "__defaults__", (2, mean))
+    rnd = random.Random(9)
+    vocabulary = ["".join(rnd.choice("abcdef") for _ in range(5)) for _ in range(300)]
+    line = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    common = [line(n) for n in (4, 5, 8, 14, 30, 60)]
+    rows = []
+    for i in range(30):
+        own = [line(rnd.randint(1, 25)) for _ in range(6)] + [c.upper() if i % 2 else c for c in common if rnd.random() < 0.4]
+        rnd.shuffle(own)
+        rows.append((i, "s", "\n".join(own)))
+    count = Counter(key for _, _, t in rows for key in {tuple(words_of(x)) for x in t.split("\n")})
+    want = {(i, k + 1) for i, _, t in rows for k, x in enumerate(t.split("\n")) if len(words_of(x)) >= 4 and count[tuple(words_of(x))] >= 5}
+    got = {(r.r, r.line_no) for r in sitelines.repeated_lines(spark.createDataFrame(rows, "r bigint, p string, t string"), "r", "p", "t").collect()}
+    assert got == want and len(want) > 30
+
+
 PAGE = """Skip to content
 Home  Episodes  Categories
 Home › Music › How to mend a library
@@ -186,11 +241,49 @@ https://h.example/people/a?page=2
 © 2024 Cast Ltd. All rights reserved."""
 
 
+def transcripts(n):
+    """Transcripts with times, and page lines, most of them without, around and within them."""
+    rnd = random.Random(8)
+    nouns, verbs = ["harbour", "teacher", "garden", "lantern", "engine", "letter", "village", "oven", "compass", "tailor"], ["found", "sold", "painted", "carried", "mended", "walked along", "baked"]
+    spoken = ["When the {a} was {v}, nobody in the {b} had any idea.", "You can {v} a {a} if the {b} is warm.", "He {v} the {a} until the {b} came into view at last.", "Welcome back, everyone, this is the show about {a} and {b}.", "Right.", "Greta: And what would you say about cookies in a {a}?", "Edda Calbry: I {v} that {a}, and {b} too.", "(laughter)", "Edda:"]
+    page = ["Skip to content", "Home  Episodes  Categories", "Home › {a} › How to mend a {b}", "Accept all", "This site and its {n} partners use cookies to improve ads and pick content near you.", "Subscribe", "Listeners also played", "How to repair a {a} ({n}:30)", "The narrow {a} of {b}", "Tags: {a}, {b}, law", "https://h.example/{a}/{b}?page={n}", "0:00 / {n}:27", "© 20{n} Cast Ltd. All rights reserved."]
+    fill = lambda t: t.format(a=rnd.choice(nouns), b=rnd.choice(nouns), v=rnd.choice(verbs), n=rnd.randint(10, 59))
+    rows = []
+    for i in range(n):
+        lines = [f"[00:{k // 60:02d}:{k % 60:02d}] {fill(rnd.choice(spoken))}" for k in range(rnd.randint(15, 30))]
+        for _ in range(rnd.randint(2, 6)):
+            line = fill(rnd.choice(page))
+            lines.insert(rnd.choice([0, len(lines), rnd.randrange(len(lines))]), line if rnd.random() < 0.95 else "[00:01:00] " + line)
+        rows.append((100 + i, "\n".join(lines)))
+    return rows
+
+
 def test_main_body(spark):
-    docs = spark.createDataFrame([(1, PAGE), (2, None), (3, ""), (4, "Subscribe\nMenu"), (1, PAGE)], "r bigint, t string").withColumn("id", F.lit("clash")).withColumn("line_no", F.lit(0))
-    got = Counter((r.r, r.line_no) for r in mainbody.page_lines(docs, "r", "t").collect())
+    rows = transcripts(150)
+    docs = spark.createDataFrame([(1, PAGE), (2, None), (3, ""), (4, "Subscribe\nMenu"), (1, PAGE), *rows], "r bigint, t string").withColumn("id", F.lit("clash")).withColumn("line_no", F.lit(0))
+    found = Counter((r.r, r.line_no) for r in mainbody.page_lines(docs, "r", "t").collect())
+    got = {k: n for k, n in found.items() if k[0] < 100}
     assert got == {(1, n): 2 for n in (1, 2, 3, 4, 5, 12, 14, 15, 16, 17, 18, 19, 20)}
-    assert mainbody.page_lines(docs.where("r > 9"), "r", "t").collect() == []
+    assert mainbody.page_lines(docs.where("r < 0"), "r", "t").collect() == []
+
+
+def test_the_tree_decides_what_density_alone_leaves_open():
+    """A phrase as open as that one stays in speech and goes in a list: by density alone both would do the same."""
+    prose = ["The harbour was found by a teacher, and nobody in the village had any idea of it."] * 4
+    menu = ["Home  Episodes", "Community", "Search", "Help"]
+    kept = mainbody.kept_lines([*prose, "Only a phrase", *menu], np.array([0.05] * 4 + [0.6] + [0.97] * 4))
+    assert kept.tolist() == [True] * 4 + [False] * 5
+    kept = mainbody.kept_lines([*prose, "Search", *menu], np.array([0.05] * 4 + [0.3] + [0.97] * 4))
+    assert kept.tolist() == [True] * 4 + [False] * 5  # by density alone it would stay
+    kept = mainbody.kept_lines([*prose[:2], "Right.", *prose], np.array([0.05] * 2 + [0.6] + [0.05] * 4))
+    assert kept.tolist() == [True] * 7  # by density alone it would go
+
+
+def test_main_body_without_any_times(spark):
+    """No labels to learn from: only how lines look counts. Nothing fails, menus go, sentences stay."""
+    text = "Home | Shows | Help\nhttps://h.example/x\n" + "\n".join(f"In the year {i}, the harbour was sold again, as nobody could have known." for i in range(8))
+    got = {r.line_no for r in mainbody.page_lines(spark.createDataFrame([(1, text)], "r bigint, t string"), "r", "t").collect()}
+    assert got == {1, 2}
 
 
 def test_spam(spark):
@@ -210,3 +303,17 @@ def test_spam(spark):
     got = Counter(r.i for r in spam.flag(docs, "i", "t", "lang").collect())
     assert got == {1000: 2, 1001: 1, 1002: 1, 1003: 1, 1004: 1, 1005: 1, 1006: 1}
     assert spam.flag(docs.where("i < 0"), "i", "t", "lang").collect() == []
+
+
+@pytest.mark.skipif(not os.path.exists(DOCUMENTS), reason="the test tables are not here")
+def test_honest_texts_of_rare_languages_are_not_spam(spark):
+    """English and eight documents of each other language: what the whole table does not show as spam is not spam here, and what it shows still is."""
+    docs = spark.read.parquet(DOCUMENTS).select("doc_id", "text", "lang").cache()
+    everything = {r.doc_id for r in spam.flag(docs, "doc_id", "text", "lang").collect()}
+    few = [docs.where(f"lower(lang) = '{k}'").orderBy("doc_id").limit(8) for k in ("de", "es", "fr", "ja", "zh")]
+    some = functools.reduce(lambda a, b: a.union(b), few, docs.where("lower(lang) = 'en'"))
+    rare = {r.doc_id for f in few for r in f.collect()}
+    got = {r.doc_id for r in spam.flag(some, "doc_id", "text", "lang").collect()}
+    assert len(rare) == 40 and got & rare == everything & rare and len(everything) > 300
+    small = spark.read.parquet(DOCUMENTS.replace("sf0.1", "sf0.001")).select("doc_id", "text", "lang")
+    assert small.count() * 0.15 > spam.flag(small, "doc_id", "text", "lang").count() >= 5  # a hundred documents, most languages with a few
