@@ -168,6 +168,12 @@ def assert_model(generator: Generator, model: str) -> None:
         raise ValueError(f"model {model} is not available: {', '.join(generator.models())}")
 
 
+def available(asked: DataFrame, name: str, have: DataFrame, have_name: str) -> DataFrame:
+    """``asked`` with ``available``: whether the list ``have`` holds the name."""
+    held = have.select(F.col(have_name).alias("_have")).where("_have is not null").distinct()
+    return asked.join(held, F.col(name) == F.col("_have"), "left").withColumn("available", F.col("_have").isNotNull()).drop("_have")
+
+
 def embedded(rows: DataFrame, text: str, make: Callable[[], Embedder], column: str = "embedding", batch: int = 16, longest: int = 1024) -> DataFrame:
     """``rows`` with the embeddings of their texts (cut to ``longest`` words), in batches inside Arrow; null and empty texts get the embedding of ''."""
     from pyspark.sql.types import ArrayType, FloatType, StructField, StructType

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 from collections.abc import Callable
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern import adapters
-from quern.config import ChunkConfig, GenerateConfig, RetrieveConfig, RewriteConfig
+from quern.config import ChunkConfig, GenerateConfig, RetrieveConfig, load_yaml, merged
 from quern.functions import html as H
 from quern.functions import kernels
 from quern.functions import text as T
@@ -18,6 +19,7 @@ from quern.operators import audit, chunk, clean, generate, index, retrieve, rewr
 from quern.plans import acquire, pipeline
 from quern.sources import jsonl, sinks
 from quern.storage import new_path, stored
+from quern.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -1005,3 +1007,62 @@ def adapter_fetch_summary(spark, sf_dir):
     fetched = adapters.fetched(links.where(F.pmod(F.crc32("url"), F.lit(3)) > 0), functools.partial(adapters.EchoFetcher, fails="a-"))
     found = adapters.fetch_summary(fetched, links, "podcast_slug")
     return found.select("podcast_slug", (F.col("written") + F.col("skipped") + F.col("failed")).alias("written"))
+
+
+@query("SELECT slug AS name, title AS text FROM (SELECT slug, max(title) AS title FROM podcast_series WHERE slug IS NOT NULL AND title IS NOT NULL GROUP BY slug)")
+def sink_texts(spark, sf_dir):
+    """A file for each podcast, written by the tasks, and read back."""
+    path = new_path(spark, "sink-texts")
+    rows = table(spark, sf_dir, "podcast_series").where("slug is not null and title is not null").groupBy(F.col("slug").alias("name")).agg(F.max("title").alias("md"))
+    assert sinks.write_texts(rows, path, "name", "md") == rows.count()
+    return spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_name", r"^(.*)\.md$", 1).alias("name"), F.col("value").alias("text"))
+
+
+@query("SELECT count(*) AS documents, min(length(coalesce(clean_text, ''))) AS min_chars, max(length(coalesce(clean_text, ''))) AS max_chars, avg(length(coalesce(clean_text, ''))) AS avg_chars FROM source_documents")
+def sink_report(spark, sf_dir):
+    """A report written twice over, and read back."""
+    path = new_path(spark, "sink-report")
+    for _ in range(2):
+        sinks.write_report(audit.summary(table(spark, sf_dir, "source_documents"), chars()), path)
+    return spark.read.schema("documents bigint, min_chars int, max_chars int, avg_chars double").json(path)
+
+
+@query(f"WITH {SQL_CLEAN} SELECT url, min(record_id) AS record_id FROM cleaned JOIN (SELECT record_id, url FROM source_documents WHERE url IS NOT NULL) USING (record_id) WHERE cleaned_chars >= 1000 GROUP BY url")
+def stream_ingest(spark, sf_dir):
+    """A stream of JSON lines cleaned and added once by address: of equal addresses the first by file and place."""
+    at = new_path(spark, "stream")
+    docs = table(spark, sf_dir, "source_documents").select("record_id", "url", "clean_text")
+    docs.repartitionByRange(4, "record_id").sortWithinPartitions("record_id").write.json(f"{at}/in")
+    ingest.ingest(ingest.arriving(spark, f"{at}/in", "record_id bigint, url string, clean_text string"), f"{at}/table", f"{at}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{at}/table").select("url", "record_id")
+
+
+@query("""SELECT * FROM (VALUES ('raw_top_k_per_query', '30'), ('final_top_k', '5'), ('max_chunks_per_doc', '1'), ('max_chunks_per_podcast', '3'), ('max_chunks_per_title', '1'), ('preview_chars', '500'), ('min_relevance_distance', '0.5'), ('weak_relevance_distance', '0.4'), ('min_sources_required', '3')) t(setting, value)""")
+def config_effective(spark, sf_dir):
+    """Settings from defaults, a file and a caller; a caller's zero does not count, and a file that is missing changes nothing."""
+    import tempfile
+
+    with tempfile.NamedTemporaryFile("w", suffix=".yaml") as f:  # a settings file of the driver
+        f.write("retrieval:\n  final_top_k: 6 # of the file\n  min_relevance_distance: 0.5\n  unknown: 1\n")
+        f.flush()
+        given = load_yaml(f.name)["retrieval"] | load_yaml(f.name + ".none").get("retrieval", {})
+    found = merged(RetrieveConfig(), given, final_top_k=5, preview_chars=0)
+    return spark.createDataFrame([(k, str(v)) for k, v in dataclasses.asdict(found).items()], "setting string, value string")
+
+
+@query(f"""WITH t AS (SELECT record_id, i, {sql_collapse('x')} AS s FROM (SELECT record_id, unnest([title, podcast_title, upper(title)]) AS x, unnest([0, 1, 2]) AS i FROM source_documents)),
+u AS (SELECT record_id, lower(s) AS k, min(i) AS i, arg_min(s, i) AS s FROM t WHERE s <> '' GROUP BY record_id, lower(s)), j AS (SELECT record_id, string_agg(s, ' ' ORDER BY i) AS joined FROM u GROUP BY record_id)
+SELECT record_id, CASE WHEN joined IS NULL THEN 'request ' || record_id ELSE 'request ' || record_id || '|' || joined END AS variants FROM source_documents LEFT JOIN j USING (record_id)""")
+def rewrite_canonical(spark, sf_dir):
+    """Answers without a core query: the distinct terms in one string stand for it."""
+    docs = table(spark, sf_dir, "source_documents")
+    terms = F.filter(F.array("title", "podcast_title", F.upper("title")), lambda x: x.isNotNull())
+    asked = docs.select("record_id", F.concat(F.lit("request "), F.col("record_id").cast("string")).alias("query"), F.to_json(F.struct(terms.alias("canonical_terms"), F.lit(" ").alias("core_query"))).alias("answer"))
+    return rewrite.parsed(asked).select("record_id", F.array_join("result.retrieval_queries", "|").alias("variants"))
+
+
+@query("SELECT slug, slug IN (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL) AS available FROM podcast_series WHERE slug IS NOT NULL")
+def adapter_available(spark, sf_dir):
+    """Which of the names asked for a remote list has."""
+    have = table(spark, sf_dir, "documents").select(F.col("source").alias("model"))
+    return adapters.available(table(spark, sf_dir, "podcast_series").where("slug is not null").select("slug"), "slug", have, "model")

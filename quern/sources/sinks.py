@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
+from quern.storage import stored
 
 
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> int:
@@ -83,13 +84,23 @@ def first_rows(df: DataFrame, key: str, order: list[Column] | None = None) -> Da
     return df.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*order)).alias("_row")).select("_row.*")
 
 
+#: Most keys that are sent to the scan of a table that is appended to.
+LOOKED_UP = 10_000
+
+
 def append_new(df: DataFrame, path: str, key: str, order: list[Column] | None = None) -> DataFrame:
-    """Append the rows whose key the Parquet table at ``path`` does not hold, of equal keys the first in ``order``; returns the table. The first write creates it. Of the table only the keys are read."""
+    """Append the rows whose key the Parquet table at ``path`` does not hold, of equal keys the first in ``order``; returns the table. The first write creates it.
+
+    Of the table only keys are read, and for up to LOOKED_UP new keys only those of row groups whose Bloom filters may hold one. Rows with a null key are always new.
+    """
     spark = df.sparkSession
-    fresh = first_rows(df, key, order)
+    fresh = stored(first_rows(df, key, order), "fresh")
     if exists(spark, path):
-        fresh = fresh.join(spark.read.parquet(path).select(key), key, "left_anti").select(*df.columns)
-    fresh.write.mode("append").parquet(path)
+        held, keys = spark.read.parquet(path).select(key), fresh.select(key).limit(LOOKED_UP + 1).collect()
+        if len(keys) <= LOOKED_UP:
+            held = held.where(F.col(key).isin([r[0] for r in keys if r[0] is not None]))
+        fresh = fresh.join(held, key, "left_anti").select(*df.columns)
+    fresh.write.mode("append").option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path)
     return spark.read.parquet(path)
 
 
