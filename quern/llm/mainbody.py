@@ -45,7 +45,7 @@ _TIME = re.compile(r"^\s*[\[(<]?\s*\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d+)?\s*(?:-->
 _URL = re.compile(r"(?:https?://|www\.)\S+|\b[\w-]+\.(?:com|org|net|example)(?:/\S*)?")
 _MENU = re.compile(r"\S\s*[|•·›»‹«]\s*\S|^\s*[‹«›»|•·]|[‹«›»|•·]\s*$|\S\s{2,}\S.*\S\s{2,}\S|\s/\s")
 _DURATION = re.compile(r"(?:\(\d{1,3}:\d{2}(?::\d{2})?\)|\b\d{1,3} min)\s*$|^\d{1,2}:\d{2}\s*/\s*\d")
-_MARKS = re.compile(r"^\W*$|^[\s>*-]*(?:[\[(<{*♪].{0,60}[\])>}*♪][\s:：*]*)+$")
+_NOTE = re.compile(r"[\[(<{][^\])>}]{0,60}[\])>}]|\*[^*]{1,60}\*|♪[^♪]{0,60}♪")
 _LABEL = re.compile(rf"^[\s>*-]*[\[(<*]{{0,2}}{_L}[\w.'’-]*(?:,?\s+{_L}[\w.'’-]*){{0,3}}(?:\s*\((?:{_L}|-)+\))?[\])>]?\s?(?:[:：]|\s[-–—](?=\s|$)|(?<=[\])>]))\*{{0,2}}")
 _WORD = re.compile(rf"{_L}+")
 
@@ -55,6 +55,11 @@ def ends(line: str) -> bool:
     return line.rstrip(" \t\r\n \"'”’)]*")[-1:] in (".", "!", "?", "…", "。", "！", "？", "—", "–", ":", "：", "-")
 
 
+def is_mark(line: str) -> bool:
+    """Whether a line is nothing but notes in brackets, or marks without any word."""
+    return not any(c.isalpha() or c == "_" for c in _NOTE.sub("", line)) and (not any(c.isdigit() for c in line) or _NOTE.search(line) is not None)
+
+
 def grams(found: list[str]) -> set:
     """The words and pairs of words of a line, its ends included."""
     return {*found, *zip(["", *found], [*found, ""])}
@@ -63,7 +68,7 @@ def grams(found: list[str]) -> set:
 def looks(line: str, found: list[str]) -> list[float]:
     """What a line looks like, without regard to its words."""
     n = len(found)
-    marks = _MARKS.match(line) is not None
+    marks = is_mark(line)
     urls = sum(len(_WORD.findall(m)) for m in _URL.findall(line)) if "://" in line or "www." in line or "." in line else 0
     stops, label = ends(line), not marks and _LABEL.match(line) is not None
     bare = n > 0 and not (stops or label or marks) and n <= 8
@@ -183,7 +188,7 @@ def kept_lines(bare: list[str], density: np.ndarray) -> np.ndarray:
     size = np.array([max(len(b), 1) for b in bare], float)
     point = np.array([points(b) for b in bare])
     # Neighbouring lines of one shape are a container: sentences and what labels them, or phrases without an end as lists and menus have them.
-    phrase = np.array([not (ends(b) or _MARKS.match(b) or _LABEL.match(b)) for b in bare])
+    phrase = np.array([not (ends(b) or is_mark(b) or _LABEL.match(b)) for b in bare])
     container = np.concatenate([[0], np.cumsum((phrase[1:] != phrase[:-1]) | (np.abs(np.diff(density)) > STEP) & ~(phrase[1:] & phrase[:-1]))])
     m = container[-1] + 1
     lines = np.bincount(container, minlength=m)

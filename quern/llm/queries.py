@@ -89,8 +89,10 @@ def p6_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every chunk that is embedded has its vector in vectors, under its chunk_id."""
-    found = hnsw.neighbours(_table(spark, sf_dir, "vectors").select("id", "embedding"), "id", "embedding", dims=48, k=5)
+    """Chunks that are embedded: each has its vector in vectors, under its chunk_id."""
+    chunks = _table(spark, sf_dir, "chunks").select(F.col("chunk_id").alias("id"))
+    vectors = _table(spark, sf_dir, "vectors").select("id", "embedding").join(chunks, "id", "left_semi")
+    found = hnsw.neighbours(vectors, "id", "embedding", dims=48, k=5)
     return hnsw.pairs(found, "id").select(F.col("a").alias("chunk_id_a"), F.col("b").alias("chunk_id_b"))
 
 
@@ -189,7 +191,7 @@ SELECT x.record_id FROM alike JOIN batch x ON x.record_id IN (a, b) JOIN batch y
 UNION SELECT record_id FROM (SELECT record_id, batch_no, min(batch_no) OVER (PARTITION BY path, episode) AS first FROM p) WHERE batch_no > first""",
     "p4_found": f"WITH {SQL_ALIKE} SELECT a AS record_id_a, b AS record_id_b FROM alike",
     "p6_found": f"WITH {SQL_PODCAST}, {SQL_OFTEN} SELECT record_id, line_no FROM found",
-    "p7_found": """WITH v AS (SELECT id, CAST(min(embedding) AS DOUBLE[]) AS e FROM vectors WHERE len(embedding) = 48 AND len(list_filter(embedding, lambda x: isnan(x) OR isinf(x) OR x IS NULL)) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 GROUP BY id),
+    "p7_found": """WITH v AS (SELECT id, CAST(min(embedding) AS DOUBLE[]) AS e FROM vectors WHERE len(embedding) = 48 AND len(list_filter(embedding, lambda x: isnan(x) OR isinf(x) OR x IS NULL)) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AND id IN (SELECT chunk_id FROM chunks WHERE chunk_id IS NOT NULL) GROUP BY id),
 near AS (SELECT a.id AS a, b.id AS b, row_number() OVER (PARTITION BY a.id ORDER BY list_cosine_similarity(a.e, b.e) DESC, b.id) AS r FROM v a JOIN v b ON a.id <> b.id)
 SELECT DISTINCT least(a, b) AS chunk_id_a, greatest(a, b) AS chunk_id_b FROM near WHERE r <= 5""",
     "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",

@@ -134,7 +134,7 @@ def observe(text: str, people: People) -> tuple[list[tuple[int, int]], np.ndarra
         if _SIGN.search(text, s, s + 64) and (m := _SHAPE.match(text, s)):
             shaped.append(m.span())
     inside = [m.span() for m in _BRACKET.finditer(text)]
-    tokens, symbols, last, begun, i, j = [], [], -1, False, 0, 0
+    tokens, symbols, last, begun, i, j, reach = [], [], -1, False, 0, 0, 0
     for m in _TOKEN.finditer(text):
         s, e = m.span()
         word = m.group()
@@ -146,8 +146,10 @@ def observe(text: str, people: People) -> tuple[list[tuple[int, int]], np.ndarra
             i += 1
         within = 0 if i == len(inside) or s < inside[i][0] else 2 if s == inside[i][0] or e == inside[i][1] else 1
         begun = s in begins and not (kind == "*" and last == s) or begun and kind in "O*>-"  # what opens a label begins nothing of its own
-        in_shape = any(a <= s < b for a, b in shaped)
-        symbols.append(_symbol((KINDS.index(kind), int(kind == "W" and people.may_be(word)), int(begun), int(in_shape), within, int(last == s))))
+        while j < len(shaped) and shaped[j][0] <= s:
+            reach = max(reach, shaped[j][1])
+            j += 1
+        symbols.append(_symbol((KINDS.index(kind), int(kind == "W" and people.may_be(word)), int(begun), int(s < reach), within, int(last == s))))
         begun = begun and kind in "O*>-"
         tokens.append((s, e))
         last = e
@@ -220,13 +222,18 @@ class Model:
         log = lambda x: np.log(x / x.sum(-1, keepdims=True))
         return Model(log(start), log(move), [log(t) for t in (kinds, known, begins, shaped, inside, glued)], end)
 
-    def decode(self, sequences: list[np.ndarray], step: int = 1_000) -> list[np.ndarray]:
-        """The best state of every token of each sequence, by Viterbi over many sequences of like length at once."""
+    def decode(self, sequences: list[np.ndarray], cells: int = 200_000) -> list[np.ndarray]:
+        """The best state of every token of each sequence, by Viterbi over many sequences of like length at once, of ``cells`` tokens together (or a single longer one)."""
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(sequences)
         order = sorted((i for i, s in enumerate(sequences) if len(s)), key=lambda i: len(sequences[i]))
         emit = self.emit.T
-        for at in range(0, len(order), step):
-            some = order[at : at + step]
+        at = 0
+        while at < len(order):
+            end = at + 1
+            while end < len(order) and (end + 1 - at) * len(sequences[order[end]]) <= cells:
+                end += 1
+            some = order[at:end]
+            at = end
             sizes = np.array([len(sequences[i]) for i in some])
             long = int(sizes[-1])
             see = np.zeros((len(some), long), np.int64)
