@@ -641,7 +641,7 @@ def run_stamps(spark, sf_dir):
     return docs.select("doc_id", T.run_stamp(F.col("crawled_at")).alias("stamp"), T.iso_stamp(F.col("crawled_at")).alias("iso"))
 
 
-@query("SELECT source, max(doc_id) AS doc_id, arg_max(title, doc_id) AS title FROM documents WHERE source IS NOT NULL GROUP BY source HAVING max(doc_id) = (SELECT max(doc_id) FROM documents WHERE source IS NOT NULL)")
+@query("SELECT source, doc_id, title FROM documents WHERE doc_id = (SELECT max(doc_id) FROM documents WHERE source IS NOT NULL)")
 def latest_run(spark, sf_dir):
     """The rows of the newest run, runs being numbered by doc_id."""
     return sinks.latest(table(spark, sf_dir, "documents").where("source is not null"), "doc_id").select("source", "doc_id", "title")
