@@ -11,12 +11,14 @@ transcripts that have times tell how page text reads, wherever else such words s
 what a line looks like (its end, separators, addresses, length, capitals), go into a logistic regression that is trained on that label
 and corrected for its errors: the shares of spoken lines without, and of page lines with a time. Its estimate, with the line's own time where the text has times, is the density.
 
-The estimate is fitted on ``sample`` texts by hash of their ids (a bounded sample, labelled by their times); every text is judged whole. A collection without times
+The estimate is fitted on ``sample`` texts of at most LONGEST characters by hash of their ids (a bounded sample, labelled by their times); every text is judged whole. A collection without times
 gives no such labels: then only how lines look counts.
 """
 
 from __future__ import annotations
 
+import math
+import operator
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -26,9 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import words
-
-SAMPLE = 4_000
+#: Texts the estimate is fitted on, and the characters of the longest of them.
+SAMPLE, LONGEST = 4_000, 20_000
 #: A text has times if this share of its lines has one.
 TIMED = 0.5
 #: Least count of a word or pair, and the weight of the mean in its share.
@@ -50,36 +51,45 @@ _LABEL = re.compile(rf"^[\s>*-]*[\[(<*]{{0,2}}{_L}[\w.'’-]*(?:,?\s+{_L}[\w.'
 _WORD = re.compile(rf"{_L}+")
 
 
+_ENDS = frozenset(".!?…。！？—–:：-")
+_SIGN = re.compile(r"[:：\-–—\])>]")
+_GATE = re.compile(r"[|•·›»‹«]|\s\s|\s/\s")
+_OPENS = re.compile(r"[\[(<{*♪]")
+LOOKS = 13
+
+
 def ends(line: str) -> bool:
     """Whether a line ends as a sentence or a label does."""
-    return line.rstrip(" \t\r\n \"'”’)]*")[-1:] in (".", "!", "?", "…", "。", "！", "？", "—", "–", ":", "：", "-")
+    return line.rstrip(" \t\r\n\u00a0\"'”’)]*")[-1:] in _ENDS if line[-1:] not in _ENDS else True
 
 
 def is_mark(line: str) -> bool:
     """Whether a line is nothing but notes in brackets, or marks without any word."""
-    return not any(c.isalpha() or c == "_" for c in _NOTE.sub("", line)) and (not any(c.isdigit() for c in line) or _NOTE.search(line) is not None)
-
-
-def grams(found: list[str]) -> set:
-    """The words and pairs of words of a line, its ends included."""
-    return {*found, *zip(["", *found], [*found, ""])}
+    if _OPENS.search(line) is None:
+        return not any(c.isalnum() for c in line)
+    return not any(c.isalpha() for c in _NOTE.sub("", line)) and (not any(c.isdigit() for c in line) or _NOTE.search(line) is not None)
 
 
-def looks(line: str, found: list[str]) -> list[float]:
-    """What a line looks like, without regard to its words."""
+def looks(line: str, found: list[str]) -> tuple[list[float], bool]:
+    """What a line looks like, without regard to its words (``found``, as they are written), and whether it is a phrase as lists and menus have them."""
     n = len(found)
-    marks = is_mark(line)
-    urls = sum(len(_WORD.findall(m)) for m in _URL.findall(line)) if "://" in line or "www." in line or "." in line else 0
-    stops, label = ends(line), not marks and _LABEL.match(line) is not None
-    bare = n > 0 and not (stops or label or marks) and n <= 8
-    capitals = sum(w[0].isupper() for w in _WORD.findall(line)) / n if n else 0.0
+    stops = ends(line)
+    marks = (n < 4 or line[0] in "[(<{*♪>-") and is_mark(line)
+    label = not marks and _SIGN.search(line, 0, 64) is not None and _LABEL.match(line) is not None
+    phrase = not (stops or label or marks)
+    bare = phrase and 0 < n <= 8
+    urls = sum(len(_WORD.findall(m)) for m in _URL.findall(line)) if "://" in line or "www." in line or ".com" in line or ".org" in line or ".net" in line or ".example" in line else 0
+    duration = (line[-1:] == ")" or "/" in line or line.rstrip().endswith("min")) and _DURATION.search(line) is not None
+    size = math.log1p(n)
     return [
-        float(stops), float(_MENU.search(line) is not None), min(urls / n, 1.0) if n else 0.0, float(_DURATION.search(line) is not None), float(label), np.log1p(n), float(marks and n > 0),
-        float(bare), float(n == 0 and any(c.isdigit() for c in line)), (line.count(",") + line.count("，") + line.count("、")) / (n + 1), capitals, float(bare) * np.log1p(n), float(not stops and not label and not marks),
-    ]
+        float(stops), float(_GATE.search(line) is not None and _MENU.search(line) is not None), min(urls / n, 1.0) if n else 0.0, float(duration), float(label), size, float(marks and n > 0),
+        float(bare), float(n == 0 and any(c.isdigit() for c in line)), (line.count(",") + line.count("，") + line.count("、")) / (n + 1), sum([w[0].isupper() for w in found]) / n if n else 0.0, bare * size, float(phrase),
+    ], phrase
 
 
-LOOKS = 13
+def grams(found: list[str]) -> set:
+    """The words and pairs of words of a line, its ends included."""
+    return {*found, *zip(["", *found], [*found, ""])}
 
 
 class Lines:
@@ -87,7 +97,8 @@ class Lines:
 
     def __init__(self, shares: dict, mean: float, weights: np.ndarray, lacks: float, untimed: float):
         self.shares, self.mean, self.weights, self.lacks, self.untimed = shares, mean, weights, lacks, untimed
-        self.memo: dict[str, float] = {}
+        self.flat = weights.tolist()
+        self.memo: dict[str, tuple[float, bool, float]] = {}
 
     @staticmethod
     def plain() -> "Lines":
@@ -98,20 +109,22 @@ class Lines:
         return Lines({}, 0.2, weights, 0.0, 1.0)
 
     @staticmethod
-    def features(line: str, shares: dict, mean: float, own: tuple[bool, dict] | None = None) -> list[float]:
-        """Of a line: the mean, highest and lowest shares of its words and pairs, whether any is known, and its looks. ``own``: its label and all counts, which then do not count the line itself."""
-        found = [w.lower() for w in _WORD.findall(line)]
+    def features(line: str, shares: dict, mean: float, own: tuple[bool, dict] | None = None) -> tuple[list[float], bool]:
+        """Of a line: the mean, highest and lowest shares of its words and pairs, whether any is known, and its looks; and whether it is a phrase. ``own``: its label and all counts, which then do not count the line itself."""
+        written = _WORD.findall(line)
+        found = [w.lower() for w in written]
         if own is None:
-            known = [shares[g] for g in grams(found) if g in shares]
+            get = shares.get
+            known = [x for x in map(get, found) if x is not None] + [x for x in map(get, zip(["", *found], [*found, ""])) if x is not None]
         else:
             label, counts = own
-            known = [(u - label + SMOOTH * mean) / (u + t - 1 + SMOOTH) for u, t in (counts[g] for g in grams(found)) if u + t > SEEN]
+            known = [(u - label + SMOOTH * mean) / (u + t - 1 + SMOOTH) for u, t in map(counts.__getitem__, [*found, *zip(["", *found], [*found, ""])]) if u + t > SEEN]
+        looked, phrase = looks(line, written) if line else ([0.0] * LOOKS, False)
         if known:
             known.sort()
-            word = [sum(known) / len(known), sum(known[-3:]) / len(known[-3:]), sum(known[:3]) / len(known[:3]), 1.0]
-        else:
-            word = [mean, mean, mean, 0.0]
-        return [1.0, *word, *looks(line, found)]
+            high, low = known[-3:], known[:3]
+            return [1.0, sum(known) / len(known), sum(high) / len(high), sum(low) / len(low), 1.0, *looked], phrase
+        return [1.0, mean, mean, mean, 0.0, *looked], phrase
 
     @staticmethod
     def fit(texts: list[str]) -> "Lines":
@@ -128,7 +141,7 @@ class Lines:
             (without if label else with_).update(grams([w.lower() for w in _WORD.findall(line)]))
         mean = float(labels.mean())
         counts = {g: (without[g], with_[g]) for g in without.keys() | with_.keys()}
-        x = np.array([Lines.features(line, {}, mean, (bool(label), counts)) for line, label in lines])
+        x = np.array([Lines.features(line, {}, mean, (bool(label), counts))[0] for line, label in lines])
         weights = _logistic(x, labels)
         q = 1 / (1 + np.exp(-x @ weights))
         order = np.argsort(q)
@@ -136,24 +149,27 @@ class Lines:
         shares = {g: (u + SMOOTH * mean) / (u + t + SMOOTH) for g, (u, t) in counts.items() if u + t >= SEEN}
         return Lines(shares, mean, weights, float(np.clip(lacks, 0.001, 0.4)), float(np.clip(untimed, 0.6, 0.999)))
 
-    def page(self, line: str) -> float:
-        """The chance, by its words and looks, that a line (without its time) is of the page."""
-        if line not in self.memo:
-            if len(self.memo) > 50_000:
+    def judged(self, line: str) -> tuple[float, bool, float]:
+        """Of a line without its time: the chance, by its words and looks, that it is of the page; whether it is a phrase; and its points."""
+        found = self.memo.get(line)
+        if found is None:
+            if len(self.memo) > 100_000:
                 self.memo.clear()
-            q = 1 / (1 + np.exp(-float(np.dot(self.features(line, self.shares, self.mean), self.weights))))
+            values, phrase = self.features(line, self.shares, self.mean)
+            q = 1 / (1 + math.exp(-max(min(sum(map(operator.mul, values, self.flat)), 30.0), -30.0)))
             share = min(max((q - self.lacks) / (self.untimed - self.lacks), 0.002), 0.998)
             # Words that nearly always, or nearly never, lack a time are surer signs than one line's chance.
-            self.memo[line] = share**2 / (share**2 + (1 - share) ** 2)
-        return self.memo[line]
+            found = self.memo[line] = (share**2 / (share**2 + (1 - share) ** 2), phrase, points(line))
+        return found
 
-    def densities(self, bare: list[str], timed: list[bool]) -> np.ndarray:
-        """The estimated link density of every line of a text."""
-        p = np.array([self.page(b) for b in bare])
-        if np.mean(timed) < TIMED or len(bare) < 5 or not self.shares:
+    def densities(self, p: np.ndarray, timed: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """The estimated link density of every line: its chance ``p``, with its own time where its text (``doc``) has times."""
+        if not self.shares or not len(p):
             return p
+        lines = np.bincount(doc)
+        has = (np.bincount(doc, timed) >= TIMED * lines) & (lines >= 5)
         odds = p / (1 - p) * np.where(timed, (1 - self.untimed) / (1 - self.lacks), self.untimed / self.lacks)
-        return odds / (1 + odds)
+        return np.where(has[doc], odds / (1 + odds), p)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 12, ridge: float = 1.0) -> np.ndarray:
@@ -183,40 +199,55 @@ def points(line: str) -> float:
     return 1 + line.count(",") + line.count("，") + line.count("、") + min(len(line) / 100, 3) + (1 if ends(line) else 0)
 
 
-def kept_lines(bare: list[str], density: np.ndarray) -> np.ndarray:
-    """Which lines the tree keeps."""
-    size = np.array([max(len(b), 1) for b in bare], float)
-    point = np.array([points(b) for b in bare])
+def kept_lines(density: np.ndarray, point: np.ndarray, phrase: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which lines the trees of their texts (``doc``, ascending) keep."""
+    if not len(density):
+        return np.zeros(0, bool)
     # Neighbouring lines of one shape are a container: sentences and what labels them, or phrases without an end as lists and menus have them.
-    phrase = np.array([not (ends(b) or is_mark(b) or _LABEL.match(b)) for b in bare])
-    container = np.concatenate([[0], np.cumsum((phrase[1:] != phrase[:-1]) | (np.abs(np.diff(density)) > STEP) & ~(phrase[1:] & phrase[:-1]))])
-    m = container[-1] + 1
-    lines = np.bincount(container, minlength=m)
-    links = np.bincount(container, point * density, m) / np.bincount(container, point, m)
-    score = np.bincount(container, point * (1 - density), m) * (1 - links)
+    other = (phrase[1:] != phrase[:-1]) | (np.abs(np.diff(density)) > STEP) & ~(phrase[1:] & phrase[:-1])
+    container = np.concatenate([[0], np.cumsum(other | (doc[1:] != doc[:-1]))])
+    first = np.flatnonzero(np.diff(container, prepend=-1))
+    of = doc[first]
+    lines = np.bincount(container)
+    links = np.bincount(container, point * density) / np.bincount(container, point)
+    score = np.bincount(container, point * (1 - density)) * (1 - links)
     # The body gets half of all points, discounted by its own density: what a line of it is worth.
-    body = 0.5 * (point * (1 - density)).sum() * (1 - (size * density).sum() / size.sum()) / len(bare)
-    best = np.argmax(score)
-    good = (np.arange(m) == best) | (score / lines >= SIBLING * max(score[best] / lines[best], body)) & (links < LINKED) | (links < PROSE)
+    n = np.maximum(np.bincount(doc), 1)
+    body = 0.5 * np.bincount(doc, point * (1 - density)) * (1 - np.bincount(doc, size * density) / np.maximum(np.bincount(doc, size), 1)) / n
+    order = np.lexsort((-score, of))
+    best = order[np.flatnonzero(np.diff(of[order], prepend=-1))]
+    worth = np.zeros(len(n))
+    worth[of[best]] = score[best] / lines[best]
+    good = (score / lines >= SIBLING * np.maximum(worth, body)[of]) & (links < LINKED) | (links < PROSE)
+    good[best] = True
     # A line of few points shares its container's density.
     alone = point / (point + SHARED * (lines[container] > 1))
     joint = alone * density + (1 - alone) * links[container]
     return np.where(good[container], joint < LINKED, joint < PROSE)
 
 
-def outside(text: str, model: Lines) -> list[int]:
-    """Numbers (from 1) of the lines of a text that are not of its main body; blank lines are of neither kind."""
-    full, bare, timed = split(text)
-    if not full:
-        return []
-    kept = kept_lines(bare, model.densities(bare, timed))
-    return [full[k] + 1 for k in np.flatnonzero(~kept) if bare[k]]
-
-
-def _kernel(model: Lines):
+def outside(texts: list[str], model: Lines) -> list[list[int]]:
+    """Numbers (from 1) of the lines of each text that are not of its main body; blank lines are of neither kind."""
+    places, timed, judged, size, counts = [], [], [], [], []
+    for text in texts:
+        full, bare, own = split(text)
+        places += full
+        timed += own
+        judged += map(model.judged, bare)
+        size += map(len, bare)
+        counts.append(len(full))
+    doc = np.repeat(np.arange(len(texts)), counts)
+    p, phrase, point = (np.array(x) for x in zip(*judged)) if judged else (np.zeros(0), np.zeros(0, bool), np.zeros(0))
+    size = np.array(size, float)
+    gone = ~kept_lines(model.densities(p, np.array(timed, bool), doc), point, phrase, np.maximum(size, 1), doc) & (size > 0)
+    out = (np.array(places, np.int64) + 1)[gone]
+    return [x.tolist() for x in np.split(out, np.searchsorted(doc[gone], np.arange(1, len(texts))))] if texts else []
+
+
+def _kernel(model: Lines, rows: int = 1_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([outside(t, model) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "lines"])
+        for batch in (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows)):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(outside(batch.column(1).to_pylist(), model), pa.list_(pa.int64()))], ["id", "lines"])
 
     return run
 
@@ -228,7 +259,14 @@ def page_lines(docs: DataFrame, ident: str, text: str, least_words: int = 40, sa
     have none. Each text is judged by itself, with a model fitted on ``sample`` texts: one pass, no shuffle. A repeated row comes out as often as it goes in.
     """
     rows = docs.select(F.col(ident).cast("bigint").alias("id"), F.col(text).alias("text"))
-    some = rows.where(F.length("text").between(200, 50_000)).orderBy(F.xxhash64("id"), "text").limit(sample).collect()
-    model = Lines.fit([r.text for r in some])
-    long = rows.where(F.size(words(F.col("text"))) >= least_words)
+    model = Lines.fit(_sampled(rows, sample))
+    long = rows.where(F.regexp_count("text", F.lit(r"\p{L}+")) >= least_words)
     return long.mapInArrow(_kernel(model), "id bigint, lines array<bigint>").select(F.col("id").alias(ident), F.explode("lines").alias("line_no"))
+
+
+def _sampled(rows: DataFrame, sample: int) -> list[str]:
+    """Up to ``sample`` texts, those with the smallest hashes of their ids; little more than these is sent by the tasks."""
+    fit_for = rows.where(F.length("text").between(200, LONGEST)).withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1_000_000)))
+    share = 1_000_000 * 1.5 * sample / max(rows.count(), 1)
+    some = fit_for.where(F.col("h") < share).select("h", "id", "text").limit(4 * sample).collect()
+    return [r.text for r in sorted(some)[:sample]]

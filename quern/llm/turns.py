@@ -114,18 +114,23 @@ class People:
         return self.memo[key]
 
 
-def _symbol(values: tuple[int, ...]) -> int:
-    out = 0
-    for v, n in zip(values, FEATURES):
-        out = out * n + v
-    return out
-
-
 SYMBOLS = int(np.prod(FEATURES))
 #: The feature values of every symbol.
 _VALUES = np.stack(np.unravel_index(np.arange(SYMBOLS), FEATURES), axis=1)
 
 
+@functools.lru_cache(maxsize=100_000)
+def _kind(word: str) -> int:
+    """What a token looks like, as its place in KINDS."""
+    if word[0].isalnum():
+        return KINDS.index("T" if _TIME.fullmatch(word) else "F" if FILLER.fullmatch(word) else "D" if word[0].isdigit() else "W")
+    return KINDS.index(_KIND.get(word, "P"))
+
+
+_LEADING = frozenset(KINDS.index(k) for k in "O*>-")
+_STAR = KINDS.index("*")
+
+
 def observe(text: str, people: People) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Tokens (start, end) of a segment and the symbol of each."""
     begins = {m.end() for m in _BEGIN.finditer(text)}
@@ -138,19 +143,18 @@ def observe(text: str, people: People) -> tuple[list[tuple[int, int]], np.ndarra
     for m in _TOKEN.finditer(text):
         s, e = m.span()
         word = m.group()
-        if word[0].isalnum():
-            kind = "T" if _TIME.fullmatch(word) else "F" if FILLER.fullmatch(word) else "D" if word[0].isdigit() else "W"
-        else:
-            kind = _KIND.get(word, "P")
+        kind = _kind(word)
         while i < len(inside) and inside[i][1] <= s:
             i += 1
         within = 0 if i == len(inside) or s < inside[i][0] else 2 if s == inside[i][0] or e == inside[i][1] else 1
-        begun = s in begins and not (kind == "*" and last == s) or begun and kind in "O*>-"  # what opens a label begins nothing of its own
+        # What opens a label begins nothing of its own.
+        begun = s in begins and not (kind == _STAR and last == s) or begun and kind in _LEADING
         while j < len(shaped) and shaped[j][0] <= s:
             reach = max(reach, shaped[j][1])
             j += 1
-        symbols.append(_symbol((KINDS.index(kind), int(kind == "W" and people.may_be(word)), int(begun), int(s < reach), within, int(last == s))))
-        begun = begun and kind in "O*>-"
+        # The features' values as one number, in the order of FEATURES.
+        symbols.append(((((kind * 2 + (kind == 0 and people.may_be(word))) * 2 + begun) * 2 + (s < reach)) * 3 + within) * 2 + (last == s))
+        begun = begun and kind in _LEADING
         tokens.append((s, e))
         last = e
     return tokens, np.array(symbols, np.int64)
@@ -226,7 +230,7 @@ class Model:
         """The best state of every token of each sequence, by Viterbi over many sequences of like length at once, of ``cells`` tokens together (or a single longer one)."""
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(sequences)
         order = sorted((i for i, s in enumerate(sequences) if len(s)), key=lambda i: len(sequences[i]))
-        emit = self.emit.T
+        start, move, emit = self.start.astype(np.float32), self.move.astype(np.float32), self.emit.T.astype(np.float32)
         at = 0
         while at < len(order):
             end = at + 1
@@ -239,13 +243,14 @@ class Model:
             see = np.zeros((len(some), long), np.int64)
             for k, i in enumerate(some):
                 see[k, : sizes[k]] = sequences[i]
-            best, back = self.start + emit[see[:, 0]], np.zeros((long, len(some), len(STATES)), np.int8)
+            best, back = start + emit[see[:, 0]], np.zeros((long, len(some), len(STATES)), np.int8)
             last = np.where((sizes == 1)[:, None], best, 0)
             for t in range(1, long):
                 live = np.searchsorted(sizes, t, "right")  # sequences of a like length stand in order of it
-                all_ = best[live:, :, None] + self.move
-                back[t, live:] = all_.argmax(1)
-                best[live:] = all_.max(1) + emit[see[live:, t]]
+                all_ = best[live:, :, None] + move
+                came = all_.argmax(1)
+                back[t, live:] = came
+                best[live:] = np.take_along_axis(all_, came[:, None, :], 1)[:, 0] + emit[see[live:, t]]
                 last[sizes == t + 1] = best[sizes == t + 1]
             path = np.zeros((long, len(some)), np.int64)
             state, rows = (last + self.end).argmax(1), np.arange(len(some))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,3 +161,25 @@ def test_history_keeps_the_prints_of_equal_texts_once(spark, tmp_path):
         got = store.take(spark.createDataFrame([(10 * n + i, None, text(1)) for i in range(4)], "r bigint, u string, t string"), "r", "t", "u")
         assert sorted(r.r for r in got.collect()) == ([10 * n + i for i in range(4)] if n else [])
     assert spark.read.schema("id bigint").option("recursiveFileLookup", "true").parquet(*store._at("sets")).distinct().count() == 1
+
+
+def test_shared_counts():
+    rnd = random.Random(3)
+    rows = [({rnd.randrange(-9, 9) for _ in range(rnd.randint(0, 8))}, {rnd.randrange(-9, 9) for _ in range(rnd.randint(0, 8))}) for _ in range(200)]
+    def laid(k):
+        return np.array([x for r in rows for x in sorted(r[k])], np.int32), np.concatenate([[0], np.cumsum([len(r[k]) for r in rows])])
+    assert history.shared_counts(*laid(0), *laid(1)).tolist() == [len(a & b) for a, b in rows]
+    none = np.zeros(0, np.int32)
+    assert history.shared_counts(none, np.array([0, 0]), none, np.array([0, 0])).tolist() == [0]
+
+
+def test_buckets_follow_the_partitions_and_stay(spark, tmp_path):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        assert history.Store(spark, str(tmp_path / "s")).buckets == 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert history.Store(spark, str(tmp_path / "s")).buckets == 20
+    with pytest.raises(ValueError):
+        history.Store(spark, str(tmp_path / "s"), buckets=4)

@@ -271,12 +271,15 @@ def test_the_tree_decides_what_density_alone_leaves_open():
     """A phrase as open as that one stays in speech and goes in a list: by density alone both would do the same."""
     prose = ["The harbour was found by a teacher, and nobody in the village had any idea of it."] * 4
     menu = ["Home  Episodes", "Community", "Search", "Help"]
-    kept = mainbody.kept_lines([*prose, "Only a phrase", *menu], np.array([0.05] * 4 + [0.6] + [0.97] * 4))
-    assert kept.tolist() == [True] * 4 + [False] * 5
-    kept = mainbody.kept_lines([*prose, "Search", *menu], np.array([0.05] * 4 + [0.3] + [0.97] * 4))
-    assert kept.tolist() == [True] * 4 + [False] * 5  # by density alone it would stay
-    kept = mainbody.kept_lines([*prose[:2], "Right.", *prose], np.array([0.05] * 2 + [0.6] + [0.05] * 4))
-    assert kept.tolist() == [True] * 7  # by density alone it would go
+    def kept(lines, density):
+        point = np.array([mainbody.points(x) for x in lines])
+        phrase = np.array([mainbody.looks(x, x.split())[1] for x in lines])
+        twice = mainbody.kept_lines(np.tile(density, 2), np.tile(point, 2), np.tile(phrase, 2), np.tile([float(len(x)) for x in lines], 2), np.repeat([0, 1], len(lines)))
+        assert twice[: len(lines)].tolist() == twice[len(lines) :].tolist()  # texts do not touch one another
+        return twice[: len(lines)].tolist()
+    assert kept([*prose, "Only a phrase", *menu], [0.05] * 4 + [0.6] + [0.97] * 4) == [True] * 4 + [False] * 5
+    assert kept([*prose, "Search", *menu], [0.05] * 4 + [0.3] + [0.97] * 4) == [True] * 4 + [False] * 5  # by density alone it would stay
+    assert kept([*prose[:2], "Right.", *prose], [0.05] * 2 + [0.6] + [0.05] * 4) == [True] * 7  # by density alone it would go
 
 
 def test_main_body_without_any_times(spark):

@@ -143,3 +143,15 @@ def test_mix_that_runs_short(spark):
     rows = mix.mix(df, targets, of_room=0.9).collect()  # 594 of 660: b1 too is short
     uses = {s: sum(r.source == s for r in rows) for s in ("a1", "a2", "b1")}
     assert uses == {"a1": 80, "a2": 334, "b1": 180} and max(r.epoch for r in rows) == 2 and len({(r.doc_id, r.epoch) for r in rows}) == len(rows)
+
+
+def test_router_finds_the_nearest_clusters():
+    x = clustered(3000, d=12).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    router = hnsw.Router(x[:1000], 60)
+    near = router.nearest(x, 5)
+    sims = x @ router.lower.T
+    best = np.argsort(-sims, axis=1)[:, :5]
+    assert (near[:, 0] == best[:, 0]).mean() > 0.95 and np.mean([len(set(a) & set(b)) for a, b in zip(near, best)]) > 4.5
+    assert hnsw.probes_of(1) == hnsw.probes_of(4) == 4 and hnsw.probes_of(10_000) == 150
+    assert len(hnsw.Router(x[:1], 1)) == 1 and hnsw.Router(x[:3], 9).nearest(x[:2], 4).shape[0] == 2
