@@ -29,7 +29,7 @@ from quern.llm.common import new_path, opened, qualified, stored
 LINKS, BUILD, SEARCH, SHARD_ROWS, PROBES, SAMPLE = 16, 64, 128, 10_000, 4, 20_000
 
 
-def beam(x: np.ndarray, links: np.ndarray, size: int, q: np.ndarray, entry: np.ndarray, width: int, step: int = 4) -> tuple[np.ndarray, np.ndarray]:
+def beam(x: np.ndarray, links: np.ndarray, size: int, q: np.ndarray, entry: np.ndarray, width: int, step: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """Best-first search of a layer for many queries at once: ids and similarities of the ``width`` best nodes met, best first (-1: none)."""
     n = len(q)
     seen = np.zeros((n, size), bool)
@@ -43,7 +43,8 @@ def beam(x: np.ndarray, links: np.ndarray, size: int, q: np.ndarray, entry: np.n
     done = ids < 0
     live = np.arange(n)
     while len(live):
-        best = np.argsort(np.where(done[live], np.inf, -sims[live]), axis=1, kind="stable")[:, :step]
+        key = np.where(done[live], np.inf, -sims[live])
+        best = np.argpartition(key, step - 1, axis=1)[:, :step] if step < width else np.argsort(key, axis=1)
         r = live[:, None]
         fresh = ~done[r, best]
         done[r, best] = True
@@ -58,9 +59,8 @@ def beam(x: np.ndarray, links: np.ndarray, size: int, q: np.ndarray, entry: np.n
         sim[at, col] = np.einsum("kd,kd->k", x[near[at, col]], q[live[at]])
         ids_, sims_ = np.concatenate([ids[live], near], 1), np.concatenate([sims[live], sim], 1)
         done_ = np.concatenate([done[live], ~got], 1)
-        top = np.argpartition(-sims_, width - 1, axis=1)[:, :width]
-        here = np.arange(len(live))[:, None]
-        ids[live], sims[live], done[live] = ids_[here, top], sims_[here, top], done_[here, top]
+        top = np.argpartition(sims_, sims_.shape[1] - width, axis=1)[:, -width:]
+        ids[live], sims[live], done[live] = np.take_along_axis(ids_, top, 1), np.take_along_axis(sims_, top, 1), np.take_along_axis(done_, top, 1)
         done[live] |= np.isneginf(sims[live])
         live = live[~done[live].all(1)]
     order = np.argsort(-sims, axis=1, kind="stable")
@@ -284,7 +284,6 @@ def _load(path: str, shard: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarra
 
 def _searcher(path: str, k: int, width: int):
     """Arrow kernel over (shard, id, embedding) sorted by shard -> id, found: the shard's k most similar other vectors, with exact cosines."""
-    kind = pa.list_(pa.struct([("similarity", pa.float64()), ("other", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, loaded = None, None
@@ -293,6 +292,10 @@ def _searcher(path: str, k: int, width: int):
             for s in np.unique(of).tolist():
                 if s != shard:
                     shard, loaded = s, _load(path, s)
+                    by_id = np.argsort(loaded[0])
+                    rank = np.empty(len(by_id), np.int64)
+                    rank[by_id] = np.arange(len(by_id))
+                    names = pa.array(loaded[0].tolist(), pa.string())
                 ids, x, layers = loaded
                 own = batch.filter(pa.array(of == s))
                 q = _unit(own, "embedding")
@@ -303,11 +306,17 @@ def _searcher(path: str, k: int, width: int):
                         near, _ = search(x.astype(np.float32), layers, q[here].astype(np.float32), k + 4, wide)
                         found[here, : near.shape[1]] = near
                 exact = np.where(found >= 0, np.einsum("bkd,bd->bk", x[np.maximum(found, 0)], q), -np.inf)
-                out = []
-                for me, near, sims in zip(own.column("id").to_pylist(), found, exact):
-                    rows = sorted(((-v, ids[n]) for n, v in zip(near.tolist(), sims.tolist()) if n >= 0 and ids[n] != me))[:k]
-                    out.append([{"similarity": -v, "other": o} for v, o in rows])
-                yield pa.RecordBatch.from_arrays([own.column("id"), pa.array(out, kind)], ["id", "found"])
+                me = np.searchsorted(ids, np.array(own.column("id").to_pylist(), dtype=object), sorter=by_id)
+                itself = by_id[np.minimum(me, len(ids) - 1)][:, None] == found
+                itself &= (ids[by_id[np.minimum(me, len(ids) - 1)]] == own.column("id").to_pylist())[:, None]
+                exact[itself] = -np.inf
+                # The most similar first, ties by id.
+                order = np.lexsort((rank[np.maximum(found, 0)], -exact), axis=1)[:, :k]
+                found, exact = np.take_along_axis(found, order, 1), np.take_along_axis(exact, order, 1)
+                good = np.isfinite(exact)
+                rows = pa.StructArray.from_arrays([pa.array(exact[good]), names.take(pa.array(found[good]))], ["similarity", "other"])
+                out = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(good.sum(1))]), pa.int32()), rows)
+                yield pa.RecordBatch.from_arrays([own.column("id"), out], ["id", "found"])
 
     return run
 
