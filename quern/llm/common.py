@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quern.storage import new_path, remove, shared_dir, stored
 
-__all__ = ["name_key", "new_path", "opened", "page_key", "qualified", "remove", "shared_dir", "stored", "with_podcast", "words"]
+__all__ = ["name_key", "new_path", "opened", "page_key", "qualified", "remove", "sampled", "shared_dir", "stored", "with_podcast", "words"]
 
 def qualified(spark: SparkSession, path: str) -> str:
     """A path with its file system's scheme, so that kernels open the same file system as Spark does."""
@@ -33,6 +33,13 @@ def words(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(r"(\p{L}+)"), F.lit(1)), F.lower)
 
 
+def sampled(rows: DataFrame, sample: int, least: int, longest: int) -> list[str]:
+    """The ``text`` of up to ``sample`` rows (id, text) of ``least`` to ``longest`` characters: those with the smallest hashes of their ids. Little more than these is sent by the tasks."""
+    share = 1_000_000 * 1.5 * sample / max(rows.count(), 1)
+    fit = rows.where(F.length("text").between(least, longest)).select(F.pmod(F.xxhash64("id"), F.lit(1_000_000)).alias("h"), "id", "text")
+    return [r.text for r in sorted(fit.where(F.col("h") < share).limit(4 * sample).collect())[:sample]]
+
+
 # Accented Latin letters and the plain letters that stand for them in slugs.
 ACCENTED = "àáâãäåāăąçćčďèéêëēėęěìíîïīłñńňòóôõöøōőřśšťùúûüūůűýÿźžż"
 PLAIN = "aaaaaaaaacccdeeeeeeeeiiiiilnnnooooooooorsstuuuuuuuyyzzz"

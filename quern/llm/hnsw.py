@@ -344,7 +344,8 @@ def neighbours(vectors: DataFrame, ident: str, embedding: str, dims: int, k: int
     total = rows.count()
     clusters = max(1, math.ceil(total / shard_rows))
     taken = max(sample, 4 * clusters) if clusters > 1 else 1
-    some = np.array([r.embedding for r in rows.orderBy("h", "id").limit(taken).collect()], np.float64).reshape(-1, dims)
+    few = rows.where(F.col("h") < 1_000_000_007 * 1.5 * taken / max(total, 1)) if clusters > 1 else rows  # the smallest hashes, little more is sent
+    some = np.array([r.embedding for r in few.orderBy("h", "id").limit(taken).collect()], np.float64).reshape(-1, dims)
     router = Router(some / np.linalg.norm(some, axis=1, keepdims=True) if len(some) else np.eye(1, dims), clusters)
     probes = probes_of(len(router)) if probes is None else probes
     kernel = "id string, embedding array<float>, h bigint, home int, asks array<int>"

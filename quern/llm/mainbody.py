@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.common import sampled
+
 #: Texts the estimate is fitted on, and the characters of the longest of them.
 SAMPLE, LONGEST = 4_000, 20_000
 #: A text has times if this share of its lines has one.
@@ -259,14 +261,6 @@ def page_lines(docs: DataFrame, ident: str, text: str, least_words: int = 40, sa
     have none. Each text is judged by itself, with a model fitted on ``sample`` texts: one pass, no shuffle. A repeated row comes out as often as it goes in.
     """
     rows = docs.select(F.col(ident).cast("bigint").alias("id"), F.col(text).alias("text"))
-    model = Lines.fit(_sampled(rows, sample))
+    model = Lines.fit(sampled(rows, sample, 200, LONGEST))
     long = rows.where(F.regexp_count("text", F.lit(r"\p{L}+")) >= least_words)
     return long.mapInArrow(_kernel(model), "id bigint, lines array<bigint>").select(F.col("id").alias(ident), F.explode("lines").alias("line_no"))
-
-
-def _sampled(rows: DataFrame, sample: int) -> list[str]:
-    """Up to ``sample`` texts, those with the smallest hashes of their ids; little more than these is sent by the tasks."""
-    fit_for = rows.where(F.length("text").between(200, LONGEST)).withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1_000_000)))
-    share = 1_000_000 * 1.5 * sample / max(rows.count(), 1)
-    some = fit_for.where(F.col("h") < share).select("h", "id", "text").limit(4 * sample).collect()
-    return [r.text for r in sorted(some)[:sample]]
