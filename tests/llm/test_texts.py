@@ -151,6 +151,17 @@ def test_links_of_a_hot_group_are_kept(spark):
     assert len(got) == len(set(got)) and set(got) == brute(rows) and {i for p in got for i in p} == set(range(230))
 
 
+def test_alike_texts_without_a_common_run_are_found(spark):
+    """Equal shingle sets but for their ends, in blocks of four words that stand in another order: no run of eight words is shared."""
+    rnd = random.Random(3)
+    a = lambda i: f"{'abcdefghij'[i // 10]}{'klmnopqrst'[i % 10]}"
+    blocks = [["hub", a(i), a(i + 40), "hub"] for i in range(40)]
+    rows = [(1, " ".join(sum(blocks, []))), (2, " ".join(sum(blocks[::-1], []))), *((10 + i, variant(rnd, " ".join(sum(rnd.sample(blocks, 30), [])))) for i in range(20))]
+    runs = [{tuple(w[i : i + 8]) for i in range(len(w) - 7)} for w in (words_of(t) for _, t in rows[:2])]
+    got = [(r.a, r.b) for r in signature.alike_pairs(spark.createDataFrame(rows, "r bigint, t string"), "r", "t", 3, 0.6).collect()]
+    assert not runs[0] & runs[1] and (1, 2) in got and len(got) == len(set(got)) and set(got) == brute(rows)
+
+
 def test_tree_prunes_without_loss():
     rnd = np.random.default_rng(1)
     sets = [set(rnd.integers(0, 400, rnd.integers(20, 60)).tolist()) for _ in range(150)]
