@@ -104,6 +104,15 @@ def test_history_equals_brute_force(spark, options):
     assert {r.r for r in history.repeats(docs, "r", "b", "t", "u", shingle=3, similarity=0.6, **options).collect()} == want and 20 < len(want) < 80
 
 
+def test_histories_without_a_common_run_are_found(spark):
+    """Blocks of four words in another order: the same three-word sequences but for the ends, and no run of eight words in common."""
+    name = lambda i: f"{'abcdefghij'[i // 10]}{'klmnopqrst'[i % 10]}"
+    blocks = [f"hub {name(i)} {name(i + 40)} hub" for i in range(40)]
+    rows = [(1, 0, None, " ".join(blocks)), (2, 0, None, text(4)), (3, 1, None, " ".join(blocks[::-1])), (4, 1, None, text(5)), (5, 2, None, " ".join(blocks[:20]))]
+    got = history.repeats(spark.createDataFrame(rows, "r bigint, b int, u string, t string"), "r", "b", "t", "u", shingle=3, similarity=0.6).collect()
+    assert [r.r for r in got] == [3]
+
+
 def test_store_is_opened_again(spark, tmp_path):
     at, shape = str(tmp_path / "store"), "r bigint, u string, t string"
     def take(rows):
