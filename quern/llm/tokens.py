@@ -24,6 +24,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 # Fixed value: the split pattern of byte-level BPE; (?U) gives \s its Unicode meaning in Java.
 SPLIT = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLOCK_DOCS, BLOCK_WORDS = 2_000, 500_000
+#: Bytes of a row group of stored blocks.
+GROUP = 16_777_216
 BLOCK = "block bigint, ids array<bigint>, lengths array<int>, at array<int>, dictionary array<{}>"
 
 
@@ -92,18 +94,27 @@ def _encoder(path: str, batch_words: int = 20_000):
     return encode
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in range(batch.num_rows):
-            ids, lengths, at, where, found = (batch.column(c)[row].values for c in ("ids", "lengths", "at", "where", "found"))
-            table = found.take(pc.sort_indices(where))
-            each = table.take(at) if len(at) else table.slice(0, 0)
-            ends = pc.cumulative_sum(lengths.cast(pa.int64()))
-            # Token offsets of the words, then of the documents.
-            tokens = pc.cumulative_sum(pc.list_value_length(each).cast(pa.int64()))
-            tokens = pa.concat_arrays([pa.array([0], pa.int64()), tokens.combine_chunks() if isinstance(tokens, pa.ChunkedArray) else tokens])
-            offsets = pa.concat_arrays([pa.array([0], pa.int64()), tokens.take(ends)]).cast(pa.int32())
-            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(offsets, each.flatten())], ["id", "ids"])
+def _gather(block: pa.Table, found: pa.Table) -> pa.Table:
+    """One block and (i, piece_ids) of its dictionary -> (id, ids)."""
+    ids, lengths, at = (block.column(c).combine_chunks()[0].values for c in ("ids", "lengths", "at"))
+    table = found.sort_by("i").column("piece_ids").combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int32()))
+    each = table.take(at) if len(at) else table.slice(0, 0)
+    ends = pc.cumulative_sum(lengths.cast(pa.int64()))
+    # Token offsets of the words, then of the documents.
+    tokens = pc.cumulative_sum(pc.list_value_length(each).cast(pa.int64()))
+    tokens = pa.concat_arrays([pa.array([0], pa.int64()), tokens.combine_chunks() if isinstance(tokens, pa.ChunkedArray) else tokens])
+    offsets = pa.concat_arrays([pa.array([0], pa.int64()), tokens.take(ends)]).cast(pa.int32())
+    return pa.Table.from_arrays([ids, pa.ListArray.from_arrays(offsets, each.flatten())], ["id", "ids"])
+
+
+def _met(blocks: DataFrame, found: DataFrame, kernel, schema: str) -> DataFrame:
+    """Each block with what was found for its dictionary, a block at a time: found rows are sorted, never collected in a row, so no task holds more than a block of them."""
+    return blocks.groupBy("block").cogroup(found.withColumnRenamed("block", "_b").groupBy("_b")).applyInArrow(kernel, schema)
+
+
+def _blocked(rows: DataFrame, kind: str, name: str) -> DataFrame:
+    """The blocks of rows (id, list), stored. A row is a whole block, so sizes are looked at after each, and few blocks are read at once."""
+    return stored(rows.mapInArrow(_blocks, BLOCK.format(kind)), name, **{"parquet.block.size": GROUP, "parquet.page.size.row.check.min": 1})
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
@@ -114,15 +125,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     ``id_col`` is a bigint and need not be unique. ``tokenizer`` is a file that every executor can read.
     """
     split = docs.select(F.col(id_col).cast("bigint").alias("id"), pieces_of(F.col(text_col)).alias("words"))
-    blocks = stored(split.mapInArrow(_blocks, BLOCK.format("string")), "token-blocks")
+    blocks = _blocked(split, "string", "token-blocks")
     entries = blocks.select("block", F.posexplode("dictionary").alias("i", "piece"))
     table = entries.select("piece").distinct().mapInArrow(_encoder(tokenizer), "piece string, piece_ids array<int>")
-    found = entries.join(table, "piece").groupBy("block").agg(F.collect_list(F.struct("i", "piece_ids")).alias("e"))
-    found = found.select(F.col("block").alias("_b"), F.col("e.i").alias("where"), F.col("e.piece_ids").alias("found"))
-    whole = blocks.join(found, F.col("block") == F.col("_b"), "left").select(
-        "ids", "lengths", "at", F.coalesce("where", F.array().cast("array<int>")).alias("where"), F.coalesce("found", F.array().cast("array<array<int>>")).alias("found")
-    )
-    return whole.mapInArrow(_gather, "id bigint, ids array<int>").select(F.col("id").alias(id_col), "ids")
+    found = entries.join(table, "piece").select("block", "i", "piece_ids")
+    return _met(blocks.select("block", "ids", "lengths", "at"), found, _gather, "id bigint, ids array<int>").select(F.col("id").alias(id_col), "ids")
 
 
 def pieces(spark, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -136,18 +143,16 @@ def pieces(spark, tokenizer: str = TOKENIZER) -> DataFrame:
     return spark.createDataFrame(rows, "id int, piece binary")
 
 
-def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow kernel over blocks and the bytes of their distinct ids -> (id, text)."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            ids, lengths, at, where, found = (batch.column(c)[row].as_py() for c in ("ids", "lengths", "at", "where", "found"))
-            table = dict(zip(where, found))
-            texts, start = [], 0
-            for n in lengths:
-                parts = [table.get(k) for k in at[start : start + n]]
-                start += n
-                texts.append(None if None in parts else b"".join(parts).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
+def _spell(block: pa.Table, found: pa.Table) -> pa.Table:
+    """One block and (i, piece) of its distinct ids -> (id, text)."""
+    ids, lengths, at = (block.column(c)[0].as_py() for c in ("ids", "lengths", "at"))
+    table = dict(zip(found.column("i").to_pylist(), found.column("piece").to_pylist())) if found.num_rows else {}
+    texts, start = [], 0
+    for n in lengths:
+        parts = [table.get(k) for k in at[start : start + n]]
+        start += n
+        texts.append(None if None in parts else b"".join(parts).decode("utf-8", "replace"))
+    return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", tokenizer: str = TOKENIZER) -> DataFrame:
@@ -159,10 +164,6 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", tok
     """
     table = F.broadcast(pieces(encoded.sparkSession, tokenizer).withColumnRenamed("id", "_token"))
     rows = encoded.select(F.col(id_col).cast("bigint").alias("id"), F.col(ids_col).cast("array<int>").alias("tokens"))
-    blocks = stored(rows.mapInArrow(_blocks, BLOCK.format("int")), "id-blocks")
+    blocks = _blocked(rows, "int", "id-blocks")
     entries = blocks.select("block", F.posexplode("dictionary").alias("i", "_token")).join(table, "_token", "left")
-    found = entries.groupBy("block").agg(F.collect_list(F.struct("i", "piece")).alias("e")).select(F.col("block").alias("_b"), F.col("e.i").alias("where"), F.col("e.piece").alias("found"))
-    whole = blocks.join(found, F.col("block") == F.col("_b"), "left").select(
-        "ids", "lengths", "at", F.coalesce("where", F.array().cast("array<int>")).alias("where"), F.coalesce("found", F.array().cast("array<binary>")).alias("found")
-    )
-    return whole.mapInArrow(_spell, "id bigint, text string").select(F.col("id").alias(id_col), "text")
+    return _met(blocks.select("block", "ids", "lengths", "at"), entries.select("block", "i", "piece"), _spell, "id bigint, text string").select(F.col("id").alias(id_col), "text")

@@ -3,6 +3,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +29,17 @@ def test_encode_is_the_tokenizer(spark, monkeypatch):
     assert tokens.encode(docs.where("doc_id < 0")).collect() == []
 
 
+def test_no_row_gathers_what_many_blocks_hold(spark, monkeypatch):
+    """Blocks are stored in small row groups, and what is found for a block is met as sorted rows, not collected into one."""
+    docs = spark.range(6_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("one two "), "id").alias("text")).coalesce(1)  # three blocks
+    for made in (tokens.encode(docs), tokens.decode(tokens.encode(docs))):
+        assert "collect_list" not in made._jdf.queryExecution().toString() and made.count() == 6_000
+    monkeypatch.setattr(tokens, "GROUP", 1_000)
+    rows = docs.select(F.col("doc_id").alias("id"), F.split("text", " ").alias("words"))
+    at = tokens._blocked(rows, "string", "blocks").inputFiles()[0].removeprefix("file://")
+    assert pq.ParquetFile(at).num_row_groups > 1
+
+
 def test_decode_of_unknown_ids(spark):
     df = spark.createDataFrame([(1, [0, 999_999]), (2, None), (3, [])], "doc_id bigint, ids array<int>")
     assert {r.doc_id: r.text for r in tokens.decode(df).collect()} == {1: None, 2: "", 3: ""}
