@@ -6,8 +6,8 @@ they came before in the text, how long the run without a function word is), link
 punctuation. The model is a smoothed trigram model of texts that read as prose; a text whose windows have, at
 the median (by characters), a perplexity far above or far below that of prose is flagged, so a sentence in front does not save it.
 
-Function words are counted over all distinct texts, and the bounds of prose are taken from all texts; only the trigram
-tables are fitted on a bounded sample (``sample`` texts of at most ``longest`` characters, by hash of the id). Every text is scored whole.
+Function words are counted over all distinct texts; trigrams are counted over all texts that read as prose, and the bounds of prose are taken from
+them all. Tasks add up their own counts, and only sums of class trigrams reach the driver. Every text is counted and scored whole.
 
 A language with fewer than ``OF_LANGUAGE`` distinct texts in the whole collection shows no function words. Its texts are judged by a second model of the
 same kind that knows no language: all words are classes, by writing and repetition, and marks that stand for one another are one. A text whose
@@ -28,9 +28,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import sampled, stored
+from quern.llm.common import stored
 
-SAMPLE, LONGEST, WINDOW, LEAST, SMOOTH = 5_000, 20_000, 20, 12, 20.0
+WINDOW, LEAST, SMOOTH = 20, 12, 20.0
 #: A word of this share of a language's distinct texts is a function word; languages with fewer texts show none.
 COMMON, OF_LANGUAGE = 0.25, 15
 #: The texts whose perplexity makes the bounds: these quantiles of all prose.
@@ -124,14 +124,13 @@ def is_prose(sequence: list[str], function: frozenset[str]) -> bool:
 class Prose:
     """A trigram model, each order smoothed by the one below."""
 
-    def __init__(self, function: frozenset[str] | None, sequences: list[list[str]]):
+    def __init__(self, function: frozenset[str] | None, trigrams: dict[tuple[str, str, str], int]):
         self.function = function
         self.counts = [Counter(), Counter(), Counter()]
-        for s in sequences:
-            s = ["^", "^", *s]
-            self.counts[0].update(s[2:])
-            self.counts[1].update(zip(s[1:], s[2:]))
-            self.counts[2].update(zip(s, s[1:], s[2:]))
+        for (a, b, c), n in trigrams.items():  # a text begins after two marks, so each token ends one trigram
+            self.counts[0][c] += n
+            self.counts[1][b, c] += n
+            self.counts[2][a, b, c] = n
         self.before = [Counter(), Counter()]
         for (a, _), n in self.counts[1].items():
             self.before[0][a] += n
@@ -201,18 +200,50 @@ def languages(docs: DataFrame, text: str, lang: str) -> Languages:
     return Languages({k: frozenset(v) for k, v in function.items()})
 
 
-def fit(docs: DataFrame, ident: str, text: str, lang: str, sample: int = SAMPLE, longest: int = LONGEST) -> tuple[Prose, Prose, frozenset[str]]:
-    """The model of the collection's prose, the one without languages, and the languages that have function words. The trigrams are counted on a bounded sample; of an empty table they know nothing."""
+def trigrams(docs: DataFrame, text: str, function: frozenset[str]) -> DataFrame:
+    """(free, a, b, c, n): how often each trigram of classes stands in the texts that read as prose, with function words and (``free``) without."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: tuple[dict, dict] = ({}, {})
+        counts = Counter(), Counter()
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            for free, count in enumerate(counts):
+                keys = list(count)
+                for at in range(0, len(keys), 50_000):
+                    some = keys[at : at + 50_000]
+                    columns = [pa.array(x, pa.string()) for x in zip(*some)]
+                    yield pa.RecordBatch.from_arrays([pa.array([bool(free)] * len(some)), *columns, pa.array([count[k] for k in some], pa.int64())], ["free", "a", "b", "c", "n"])
+                count.clear()
+
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                found = tokens(t) if t else []
+                sequence = classes(found, function, known[0])
+                if is_prose(sequence, function):
+                    for count, s in zip(counts, (sequence, classes(found, None, known[1]))):
+                        s = ["^", "^", *s]
+                        count.update(zip(s, s[1:], s[2:]))
+            if sum(map(len, counts)) > 1_000_000:
+                yield from emit()
+        yield from emit()
+
+    made = docs.select(F.col(text).alias("text")).mapInArrow(run, "free boolean, a string, b string, c string, n bigint")
+    return made.groupBy("free", "a", "b", "c").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame, text: str, lang: str) -> tuple[Prose, Prose, frozenset[str]]:
+    """The model of the collection's prose, the one without languages, and the languages that have function words. Of a table without prose the models know nothing."""
     known = languages(docs, text, lang)
-    some = sampled(docs.select(F.col(ident).alias("id"), F.col(text).alias("text")), sample, 1, longest)
-    function = known.all
-    prose = [(found, sequence) for found in map(tokens, some) if is_prose(sequence := classes(found, function), function)]
-    return Prose(function, [s for _, s in prose]), Prose(None, [classes(found, None) for found, _ in prose]), frozenset(k for k in known.function if k)
+    counts: tuple[dict, dict] = ({}, {})
+    for r in trigrams(docs, text, known.all).toLocalIterator():
+        counts[r.free][r.a, r.b, r.c] = r.n
+    return Prose(known.all, counts[0]), Prose(None, counts[1]), frozenset(k for k in known.function if k)
 
 
-def levels(docs: DataFrame, ident: str, text: str, lang: str, sample: int = SAMPLE) -> DataFrame:
+def levels(docs: DataFrame, ident: str, text: str, lang: str) -> DataFrame:
     """(id, told, prose, level, free): of every text with LEAST tokens its level under both models (``free``: without languages; only where it is asked for, and for prose), and whether its language has function words (null: not told)."""
-    model, free, known = fit(docs, ident, text, lang, sample)
+    model, free, known = fit(docs, text, lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,13 +263,13 @@ def levels(docs: DataFrame, ident: str, text: str, lang: str, sample: int = SAMP
     return rows.mapInArrow(run, f"id {kind}, told boolean, prose boolean, level double, free double").where("level is not null")
 
 
-def flag(docs: DataFrame, ident: str, text: str, lang: str, sample: int = SAMPLE) -> DataFrame:
+def flag(docs: DataFrame, ident: str, text: str, lang: str) -> DataFrame:
     """(ident): the documents whose text is keyword, link, product or tag spam; repeated rows each.
 
     Null, empty and blank texts and those of under LEAST tokens are not. ``lang`` (null and any case allowed) tells
     whose function words a text may have. Other columns are ignored. A collection without any prose has no bounds: nothing is flagged.
     """
-    scored = stored(levels(docs, ident, text, lang, sample), "levels")
+    scored = stored(levels(docs, ident, text, lang), "levels")
     prose = scored.where("prose")
     bound = lambda c: [F.percentile_approx(c, q, 100_000) for q in (LOWEST, HIGHEST)]
     low, high, free_low, free_high = prose.agg(*[b.alias(f"b{i}") for i, b in enumerate(bound("level") + bound("free"))]).first()

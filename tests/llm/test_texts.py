@@ -319,6 +319,15 @@ def test_spam(spark):
     assert spam.flag(docs.where("i < 0"), "i", "t", "lang").collect() == []
 
 
+def test_every_text_of_prose_is_counted(spark):
+    """Texts beyond any sample, and long ones: each trigram of classes is counted as often as it stands."""
+    name = lambda i: "".join("abcdefghij"[int(d)] for d in str(10_000 + i))
+    rows = [(i, " ".join(f"When the {name(1_000 * k + i)} was in the {name(k + 7 * i)}, nobody had any idea of it." for k in range(400 if i == 0 else 2)), "en") for i in range(5_400)]
+    model, free, known = spam.fit(spark.createDataFrame(rows, "i bigint, t string, lang string").repartition(4), "t", "lang")
+    want = sum(len(spam.tokens(t)) for _, t, _ in rows)
+    assert model.total == sum(model.counts[2].values()) == want == free.total and known == {"en"}
+
+
 @pytest.mark.skipif(not os.path.exists(DOCUMENTS), reason="the test tables are not here")
 def test_honest_texts_of_rare_languages_are_not_spam(spark):
     """English and eight documents of each other language: what the whole table does not show as spam is not spam here, and what it shows still is."""
