@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -192,3 +193,19 @@ def test_buckets_follow_the_partitions_and_stay(spark, tmp_path):
     assert history.Store(spark, str(tmp_path / "s")).buckets == 20
     with pytest.raises(ValueError):
         history.Store(spark, str(tmp_path / "s"), buckets=4)
+
+
+def test_shuffled_files_of_the_last_write_are_let_go(spark, tmp_path):
+    """The listeners' last event refers to the last write, whose files would stay until there is another."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: set(disk.getAllFiles().mkString("\n").split("\n"))
+    history.let_go(spark)
+    before = held()
+    spark.range(10_000).repartition(3, "id").write.parquet(str(tmp_path / "t"))
+    made = held() - before
+    assert any("shuffle_" in f for f in made)
+    history.let_go(spark)
+    until = time.time() + 20
+    while held() & made and time.time() < until:
+        time.sleep(0.2)
+    assert not held() & made
