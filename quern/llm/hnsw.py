@@ -32,36 +32,47 @@ LINKS, BUILD, SEARCH, SHARD_ROWS, PROBES, SAMPLE = 16, 64, 128, 10_000, 4, 20_00
 def beam(x: np.ndarray, links: np.ndarray, size: int, q: np.ndarray, entry: np.ndarray, width: int, step: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """Best-first search of a layer for many queries at once: ids and similarities of the ``width`` best nodes met, best first (-1: none)."""
     n = len(q)
-    seen = np.zeros((n, size), bool)
+    seen = np.zeros(n * size, bool)
     rows = np.arange(n)[:, None]
     ids = np.full((n, width), -1, np.int32)
     sims = np.full((n, width), -np.inf, np.float32)
     k = min(entry.shape[1], width)
     ids[:, :k] = entry[:, :k]
     sims[:, :k] = np.where(entry[:, :k] >= 0, np.einsum("bkd,bd->bk", x[entry[:, :k]], q), -np.inf)
-    seen[rows, np.maximum(entry[:, :k], 0)] = True
+    seen[rows * size + np.maximum(entry[:, :k], 0)] = True
     done = ids < 0
-    live = np.arange(n)
+    live, place = np.arange(n), np.zeros(n, np.int64)
     while len(live):
-        key = np.where(done[live], np.inf, -sims[live])
+        held, kept, gone = ids[live], sims[live], done[live]
+        key = np.where(gone, np.inf, -kept)
         best = np.argpartition(key, step - 1, axis=1)[:, :step] if step < width else np.argsort(key, axis=1)
-        r = live[:, None]
-        fresh = ~done[r, best]
-        done[r, best] = True
-        near = np.where(fresh[:, :, None], links[np.maximum(ids[r, best], 0)], -1).reshape(len(live), -1)
-        near = np.sort(near, axis=1)
-        near[:, 1:][near[:, 1:] == near[:, :-1]] = -1
-        near[seen[r, np.maximum(near, 0)]] = -1
-        got = near >= 0
-        at, col = np.nonzero(got)
-        seen[live[at], near[at, col]] = True
-        sim = np.full(near.shape, -np.inf, np.float32)
-        sim[at, col] = np.einsum("kd,kd->k", x[near[at, col]], q[live[at]])
-        ids_, sims_ = np.concatenate([ids[live], near], 1), np.concatenate([sims[live], sim], 1)
-        done_ = np.concatenate([done[live], ~got], 1)
-        top = np.argpartition(sims_, sims_.shape[1] - width, axis=1)[:, -width:]
-        ids[live], sims[live], done[live] = np.take_along_axis(ids_, top, 1), np.take_along_axis(sims_, top, 1), np.take_along_axis(done_, top, 1)
-        done[live] |= np.isneginf(sims[live])
+        best = best + np.arange(len(live))[:, None] * width
+        best = best[~gone.take(best)]
+        gone.ravel()[best] = True
+        near = links.take(held.take(best), axis=0)
+        at = ((live * size).take(best // width)[:, None] + near)[near >= 0]
+        at = np.sort(at[~seen.take(at)])
+        at = at[np.concatenate([np.ones(min(len(at), 1), bool), at[1:] != at[:-1]])]
+        seen[at] = True
+        of = at // size
+        at -= of * size
+        sim = np.einsum("kd,kd->k", x.take(at, axis=0), q.take(of, axis=0))
+        # Only what is better than the worst that is held can come in.
+        place[live] = np.arange(len(live))
+        row = place.take(of)
+        better = sim > kept.min(1).take(row)
+        row, at, sim = row[better], at[better], sim[better]
+        more = np.bincount(row, minlength=len(live))
+        wide = int(more.max())
+        if wide:
+            col = width + np.arange(len(row)) - (np.cumsum(more) - more)[row]
+            held = np.concatenate([held, np.full((len(live), wide), -1, np.int32)], 1)
+            kept = np.concatenate([kept, np.full((len(live), wide), -np.inf, np.float32)], 1)
+            gone = np.concatenate([gone, np.ones((len(live), wide), bool)], 1)
+            held[row, col], kept[row, col], gone[row, col] = at, sim, False
+            top = np.argpartition(kept, wide, axis=1)[:, wide:] + np.arange(len(live))[:, None] * (width + wide)
+            held, kept, gone = held.take(top), kept.take(top), gone.take(top)
+        ids[live], sims[live], done[live] = held, kept, gone | np.isneginf(kept)
         live = live[~done[live].all(1)]
     order = np.argsort(-sims, axis=1, kind="stable")
     ids, sims = ids[rows, order], sims[rows, order]
@@ -71,8 +82,8 @@ def beam(x: np.ndarray, links: np.ndarray, size: int, q: np.ndarray, entry: np.n
 def spread(x: np.ndarray, ids: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
     """Neighbour lists out of candidates (best first): a candidate nearer to one already chosen than to the node waits; the nearest that wait fill up."""
     n, wide = ids.shape
-    vectors = x[np.maximum(ids, 0)]
-    among = np.einsum("bed,bfd->bef", vectors, vectors)
+    vectors = x.take(np.maximum(ids, 0), axis=0)
+    among = vectors @ vectors.transpose(0, 2, 1)
     chosen, count, worst = np.zeros((n, wide), bool), np.zeros(n, int), np.full((n, wide), -np.inf, np.float32)
     valid = ids >= 0
     for e in range(wide):
@@ -96,7 +107,7 @@ def _best(x: np.ndarray, ids: np.ndarray, q: np.ndarray, width: int) -> tuple[np
     return ids[top].astype(np.int32), np.take_along_axis(sims, top, 1).astype(np.float32)
 
 
-def _layer(x: np.ndarray, size: int, most: int, upper: list[np.ndarray], first: int = 256, batch: int = 512) -> np.ndarray:
+def _layer(x: np.ndarray, size: int, most: int, upper: list[np.ndarray], first: int = 256, batch: int = 256) -> np.ndarray:
     """The neighbour array of the layer of nodes 0..size-1, by inserting batches of nodes."""
     links = np.full((size, most), -1, np.int32)
     at = 0
@@ -165,7 +176,7 @@ def build(x: np.ndarray, links: int = LINKS) -> list[np.ndarray]:
     return layers
 
 
-def search(x: np.ndarray, layers: list[np.ndarray], q: np.ndarray, k: int, width: int = SEARCH, batch: int = 512) -> tuple[np.ndarray, np.ndarray]:
+def search(x: np.ndarray, layers: list[np.ndarray], q: np.ndarray, k: int, width: int = SEARCH, batch: int = 128) -> tuple[np.ndarray, np.ndarray]:
     """Ids and similarities of the k best nodes found for each query."""
     out = [beam(x, layers[-1], len(x), q[s : s + batch], _entries(x, layers[:-1], q[s : s + batch], len(x)), min(max(width, k), len(x))) for s in range(0, len(q), batch)]
     ids, sims = (np.concatenate(y) for y in zip(*out))

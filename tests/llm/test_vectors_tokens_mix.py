@@ -74,6 +74,23 @@ def test_recall(spark, options):
     assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
 
 
+def test_a_search_merges_only_what_can_come_in(monkeypatch):
+    """Nodes met that are worse than all that is held were carried along at every step; the nodes found are as many and as good."""
+    x = clustered(1500)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    layers, merged, whole = hnsw.build(unit), [], np.argpartition
+    def counted(a, *args, **options):
+        merged.append(a.size)
+        return whole(a, *args, **options)
+    monkeypatch.setattr(np, "argpartition", counted)
+    ids, sims = hnsw.search(unit, layers, unit, 6, 64)
+    monkeypatch.undo()
+    want = exact(x)
+    assert np.mean([len({*row} & {*found}) / 5 for row, found in zip(want.tolist(), ids.tolist())]) > 0.98
+    assert (ids[:, 0] == np.arange(1500)).all() and (np.diff(sims, axis=1) <= 0).all() and all(len({*row}) == 6 for row in ids.tolist())
+    assert sum(merged) < 3_000 * 1500
+
+
 def test_few_vectors(spark):
     df = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.0]), ("c", [0.0, 1.0])], "k string, e array<float>")
     got = {(r.k, r["rank"]): r.other for r in hnsw.neighbours(df, "k", "e", 2).collect()}
