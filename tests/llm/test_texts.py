@@ -5,11 +5,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import regex
 from pyspark.sql import functions as F
 
 from quern.llm import mainbody, signature, sitelines, spam, turns
+from quern.llm.common import words
 from quern.llm.grams import word_hashes
 from quern.llm.signature import tree_join
 
@@ -179,6 +181,50 @@ def test_a_value_for_each_text_goes_to_the_kernels(spark):
     assert [x.tolist() for x in signature.per_text(h[:0], np.array([0, 0, 0]))] == [[], [0, 0, 0]]
 
 
+def test_blocks_of_first_shingles_meet_as_single_rows_do(monkeypatch):
+    """Blocks, not rows of single shingles, go to the tasks that compare them; a frequent top takes no more memory than tells so."""
+    rnd = random.Random(5)
+    texts = [(i, rnd.randint(20, 60), rnd.sample(range(-3, 300), rnd.randint(0, 12)) + [2**31 - 1] * (i % 2) + [-(2**31)] * (i < 9)) for i in range(500)]
+    texts[7] = (7, 40, [299, 299])  # equal bits of two shingles of one text
+    kind = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("tops", pa.list_(pa.int32()))])
+    batch = pa.RecordBatch.from_pylist([dict(zip(kind.names, x)) for x in texts], kind)
+    monkeypatch.setattr(signature, "TOPS", 1_000)
+    blocks = [b for part in (batch.slice(0, 200), batch.slice(200), batch.slice(500)) for b in signature._top_blocks(5)([part])]
+    assert sum(b.num_rows for b in blocks) <= 5 * len(blocks) <= 5 * 6
+    assert sum(len(x) // 20 for b in blocks for x in b.column(1).to_pylist()) == sum(len(x[2]) for x in texts)
+    in_bucket = lambda made, k: pa.Table.from_batches(made).filter(pc.field("bucket") == k).to_batches(max_chunksize=1)
+    monkeypatch.setattr(signature, "TOPS", 20)  # thinned again and again
+    monkeypatch.setattr(signature, "MEETINGS", 400)
+    met = [b for k in range(5) for b in signature._meet_kernel(0.6, 3, 50)(in_bucket(blocks, k))]
+    found = [x for b in met for block in b.column(1).to_pylist() if block for x in zip(*(c.tolist() for c in signature._unpacked([block], signature.MEETING)))]
+    frequent = [t for b in met for t in b.column(2).to_pylist() if t is not None]
+    often = [(r["a"], r["b"]) for k in range(3) for b in signature._often(iter(in_bucket(met, k))) for r in b.to_pylist()]
+    places = {}
+    for i, n, tops in texts:
+        for place, top in enumerate(tops):
+            places.setdefault(top, []).append((i, n, n - place))
+    assert frequent == [2**31 - 1] and len(places[2**31 - 1]) == 249
+    expected = []
+    for top, rows in places.items():
+        for x, (i, n, rest) in enumerate(rows) if len(rows) <= signature.FREQUENT else ():
+            for j, m, other in rows[x + 1 :]:
+                fits, least = signature.meet(np.array([n]), np.array([rest]), np.array([m]), np.array([other]), 0.6)
+                expected += [(min(i, j), max(i, j), int(least[0]))] * int(fits[0] and i != j)
+    assert expected and sorted(found) == sorted(expected)
+    enough = {(a, b) for (a, b, least), c in Counter(expected).items() if c >= least}
+    assert enough and len(often) == len(set(often)) and set(often) == enough | {(2**31 - 1, None)}
+
+
+def test_words_of_texts_are_those_of_words(spark):
+    """The words are joined without an array of them; they are the same in any script, and so is their number."""
+    odd = ["ΟΔΥΣΣΕΥΣ ΣΑΣ Σ, Σ'ΑΣ'Σ ΑΣ́Α", "İstanbul IŞIK ıI", "Džungla Džǅ", "𝐀𝐁 𐐀𐐁x", "  lead trail  ", " ", "", "a", "-a--b-", "a b\u3000c\tD\nE", "A1B2C3", "ẞ ŒUVRE ﬁ", "日本語テキスト、ラー", "नमस्ते दुनिया", "a\u0000b", "Σ\u00adΣ", None]
+    docs = spark.createDataFrame(list(enumerate(odd)), "r int, t string")
+    want = {r.r: r.w for r in docs.select("r", words(F.col("t")).alias("w")).collect()}
+    for least in (0, 1, 2, 3):
+        got = {r.id: r.words for r in signature.texts_of(docs, "r", "t", least).collect()}
+        assert got == {i: " ".join(w) for i, w in want.items() if w is not None and len(w) >= least}
+
+
 def test_tree_prunes_without_loss():
     rnd = np.random.default_rng(1)
     sets = [set(rnd.integers(0, 400, rnd.integers(20, 60)).tolist()) for _ in range(150)]
